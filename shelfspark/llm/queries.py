@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .canonical import map_to_reference
 from .topn import top_items
 
 
@@ -20,7 +21,16 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    parts = []
+    for column, refs, name in (("city", "ref_cities", "city_name"), ("chain_name", "ref_chains", "chain_name")):
+        stores = table(spark, folder, "stores", "id", column)
+        mapped = map_to_reference(stores, "id", column, table(spark, folder, refs), "ref_id", [name, f"{name}_latin"])
+        parts.append(mapped.select("id", F.lit(column).alias("field_name"), "ref_id"))
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p4_found)}
 
 SQL = {
     "p4_found": """
