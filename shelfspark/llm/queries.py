@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .canonical import map_to_reference
+from .mojibake import garbled_documents
 from .topn import top_items
 
 
@@ -30,7 +31,11 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return garbled_documents(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p10_found)}
 
 SQL = {
     "p4_found": """
