@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checkpoints import materialise
 from ..sources.tables import table
 from .canonical import map_to_reference
+from .leakage import leaked_items
+from .mixing import actual_shares, chosen_repeats, distinct_texts, source_rates
 from .mojibake import garbled_documents
 from .topn import top_items
 
@@ -31,11 +34,33 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    return leaked_items(documents, "doc_id", "text", table(spark, folder, "eval_items", "item_id", "text"), "item_id", "text")
+
+
+def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, folder, "mix_targets")
+    texts = materialise(distinct_texts(table(spark, folder, "documents", "doc_id", "text", "source"), targets), "texts")
+    rates = source_rates(texts, targets)
+    return rates, chosen_repeats(texts, rates)
+
+
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The chosen texts with their number of copies."""
+    return _mixture(spark, folder)[1]
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return actual_shares(*_mixture(spark, folder))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_documents(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p8_found, p9_mixture, p9_shares, p10_found)}
 
 SQL = {
     "p4_found": """
