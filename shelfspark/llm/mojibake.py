@@ -219,7 +219,11 @@ LEAST_SEQUENCE_GAIN = 1.2
 LEAST_GAIN_PER_CHARACTER = 0.45
 
 
+@lru_cache(maxsize=300_000)
 def _suspect(word: str) -> float:
+    """How unnatural a word is; plain Hebrew words don't count, as no stretch of them alone is replaced."""
+    if all("א" <= c <= "ת" or c < "\x80" for c in word):
+        return 0.0
     score = natural(word)
     return score if score < -0.4 * sum(c >= "\x80" for c in word) else 0.0
 
