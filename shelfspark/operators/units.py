@@ -179,12 +179,12 @@ def normalise_quantities(rows: DataFrame, keys: list[str], qty: str = "unit_qty"
     canonical = F.col(qty).rlike("^[0-9]+$") & F.col(measure).isin(*CANONICAL)
     dirty = rows.select(*keys, qty, measure, weighted).filter(F.col(qty).isNotNull() & ~F.coalesce(canonical, F.lit(False)))
     read = F.pandas_udf(_read_udf, "unit string, amount string")
-    parsed = dirty.select(*keys, read(qty, measure, weighted).alias("r")).select(*keys, "r.unit", F.expr("try_cast(r.amount as decimal(21,9))").alias("amount"))
-    factors = F.broadcast(conversion_factors(rows.sparkSession))
-    product = "cast(amount * 1000000000BD as decimal(21,0)) * factor_e6"
+    parsed = dirty.select(*keys, read(qty, measure, weighted).alias("read_")).select(*keys, F.col("read_.unit").alias("unit_"), F.expr("try_cast(read_.amount as decimal(21,9))").alias("amount_"))
+    factors = F.broadcast(conversion_factors(rows.sparkSession).select(F.col("unit").alias("unit_"), F.col("base_unit").alias("base_"), F.col("factor_e6").alias("factor_")))
+    product = "cast(amount_ * 1000000000BD as decimal(21,0)) * factor_"
     milli = F.expr(f"({product} + 500000000000000BD) div 1000000000000000BD")
-    done = parsed.filter(F.col("unit").isNotNull() & (F.col("amount") > 0)).join(factors, "unit").select(*keys, "base_unit", milli.alias("amount_milli"))
-    return done.groupBy(*keys).agg(F.min(F.struct("base_unit", "amount_milli")).alias("q")).select(*keys, "q.base_unit", "q.amount_milli")
+    done = parsed.filter(F.col("unit_").isNotNull() & (F.col("amount_") > 0)).join(factors, "unit_").select(*keys, "base_", milli.alias("milli_"))
+    return done.groupBy(*keys).agg(F.min(F.struct("base_", "milli_")).alias("least_")).select(*keys, F.col("least_.base_").alias("base_unit"), F.col("least_.milli_").alias("amount_milli"))
 
 
 def _read_udf(qty: pd.Series, measure: pd.Series, weighted: pd.Series) -> pd.DataFrame:

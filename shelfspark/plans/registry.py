@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import data_queries
+from . import data_queries, relational_queries, value_queries
 
-MODULES = (data_queries,)
+MODULES = (data_queries, relational_queries, value_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

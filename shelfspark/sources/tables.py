@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, *columns: str | Column) -> DataFrame:
     """Table ``name`` of ``folder``, with only ``columns`` if any are named."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return df.select(*columns) if columns else df
