@@ -171,7 +171,7 @@ def natural(word: str) -> float:
                 crowd = (a >= "\x80" and ka == ".") + (b >= "\x80" and kb == ".")
                 total += (0.3 if ka in " ." or kb in " ." else -1.5) - 1.5 * crowd
         elif c in _SIGNS:
-            total += 0.4 if (c in "₪€½¼¾№" and ka in " .d" and kb in " .d") or (c == "×" and ka in " d" and kb in " d") or (c == "°" and ka in "d ") or (c in "±©®™§£" and ka in " ." and kb in " .") else -1.5
+            total += 0.4 if (c in "₪€£½¼¾№" and ka in " .d" and kb in " .d") or (c == "×" and ka in " d" and kb in " d") or (c == "°" and ka in "d ") or (c in "±©®™§" and ka in " ." and kb in " .") else -1.5
         elif c in "​‎‏  ﻿":
             total += 0 if c != " " else -0.1
         elif _kind(c) == "g":
@@ -215,6 +215,7 @@ LEAST_GAIN_FROM_NONSENSE = 2.2
 LEAST_LETTERS = 6
 LEAST_WORDS_AMONG_LETTERS = 3
 SEQUENCE_BONUS = 3.0
+CERTAIN_GAIN = 4.0
 LEAST_SEQUENCE_GAIN = 1.2
 LEAST_GAIN_PER_CHARACTER = 0.45
 
@@ -269,7 +270,12 @@ def _sequence_options(held: list[str]) -> list[tuple[float, int, int, list[str]]
             if new == before:
                 break
             gain = [0.0 if x == y else natural(x) - natural(y) for x, y in zip(new, held)]
-            options += [(s + SEQUENCE_BONUS, a, b, new) for s, a, b in _segments(gain) if s >= LEAST_SEQUENCE_GAIN and _in_order(new[a : b + 1])]
+            segments = _segments(gain)
+            if any(s >= CERTAIN_GAIN for s, _, _ in segments):  # then all its other sequences are garbled too
+                segments += [(g, i, i) for i, g in enumerate(gain) if g > -1.0 and new[i] != held[i]]
+                options += [(s + SEQUENCE_BONUS, a, b, new) for s, a, b in segments if _in_order(new[a : b + 1])]
+            else:
+                options += [(s + SEQUENCE_BONUS, a, b, new) for s, a, b in segments if s >= LEAST_SEQUENCE_GAIN and _in_order(new[a : b + 1])]
     return options
 
 

@@ -21,8 +21,8 @@ def best_rows(rows: DataFrame, group: Sequence[str], item: str, score: str, tie:
     """
     known = rows.filter(F.col(score).isNotNull() & F.col(item).isNotNull())
     order = F.struct((-F.col(score)).alias("s"), F.col(tie).isNull().alias("n"), F.col(tie).alias("t"))
-    best = known.groupBy(*group, item).agg(F.min(order).alias("b"))
-    return best.select(*group, item, (-F.col("b.s")).alias(score), F.col("b.t").alias(tie))
+    best = known.groupBy(*group, item).agg(F.min(order).alias("best_"))
+    return best.select(*group, item, (-F.col("best_.s")).alias(score), F.col("best_.t").alias(tie))
 
 
 def _local_positions(group: Sequence[str], most: int):
@@ -46,7 +46,7 @@ def _local_positions(group: Sequence[str], most: int):
             if not begins[0]:
                 place[: int(np.argmax(begins)) or n] += count
             last, count = [k[n - 1].as_py() for k in keys], int(place[-1])
-            yield batch.append_column("local_position", pa.array(place, pa.int64())).filter(pa.array(place <= most))
+            yield batch.append_column("local_position_", pa.array(place, pa.int64())).filter(pa.array(place <= most))
 
     return number
 
@@ -66,11 +66,11 @@ def top_positions(rows: DataFrame, group: Sequence[str], order: Sequence[Column]
     """
     n = partitions or max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [*[F.col(g) for g in group], *order]
-    ordered = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id())
-    local = ordered.mapInArrow(_local_positions(group, most), T.StructType([*ordered.schema, T.StructField("local_position", T.LongType())]))
-    earlier = Window.partitionBy(*group).orderBy("part").rangeBetween(Window.unboundedPreceding, -1)
-    position = F.col("local_position") + F.count(F.lit(1)).over(earlier)
-    return local.withColumn("position", position.cast("bigint")).filter(F.col("position") <= most).drop("part", "local_position")
+    ordered = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("part_", F.spark_partition_id())
+    local = ordered.mapInArrow(_local_positions(group, most), T.StructType([*ordered.schema, T.StructField("local_position_", T.LongType())]))
+    earlier = Window.partitionBy(*group).orderBy("part_").rangeBetween(Window.unboundedPreceding, -1)
+    position = F.col("local_position_") + F.count(F.lit(1)).over(earlier)
+    return local.withColumn("position", position.cast("bigint")).filter(F.col("position") <= most).drop("part_", "local_position_")
 
 
 def top_items(rows: DataFrame, label: str, group: Sequence[str], item: str, score: str, tie: str, most: int) -> DataFrame:
