@@ -165,13 +165,17 @@ def natural(word: str) -> float:
             crowd = (ka == "l" and a >= "\x80") + (kb == "l" and b >= "\x80" and b.islower())
             total += (0.0 if c in "ÉÈÀÇÊÎÔÛÂÙŒËÏ" else -0.8) - (3 if inside else 0) - 2.0 * crowd - (2 if ka in "hcgd" or kb in "hcgd" else 0)
         elif c in _QUOTES:
-            if c in "’‑":
+            if c == "«" and kb == "l" and b.islower():
+                total -= 1.2  # French sets it apart
+            elif c in "’‑":
                 total += 0.6
             else:
                 crowd = (a >= "\x80" and ka == ".") + (b >= "\x80" and kb == ".")
                 total += (0.3 if ka in " ." or kb in " ." else -1.5) - 1.5 * crowd
         elif c in _SIGNS:
             total += 0.4 if (c in "₪€£½¼¾№" and ka in " .d" and kb in " .d") or (c == "×" and ka in " d" and kb in " d") or (c == "°" and ka in "d ") or (c in "±©®™§" and ka in " ." and kb in " .") else -1.5
+        elif "！" <= c <= "～":
+            total += 0
         elif c in "​‎‏  ﻿":
             total += 0 if c != " " else -0.1
         elif _kind(c) == "g":
@@ -220,10 +224,15 @@ LEAST_SEQUENCE_GAIN = 1.2
 LEAST_GAIN_PER_CHARACTER = 0.45
 
 
+def _plain_hebrew(c: str) -> bool:
+    """A Hebrew letter or a mark of direction."""
+    return "א" <= c <= "ת" or c in "‎‏"
+
+
 @lru_cache(maxsize=300_000)
 def _suspect(word: str) -> float:
     """How unnatural a word is; plain Hebrew words don't count, as no stretch of them alone is replaced."""
-    if all("א" <= c <= "ת" or c < "\x80" for c in word):
+    if all(c < "\x80" or _plain_hebrew(c) for c in word):
         return 0.0
     score = natural(word)
     return score if score < -0.4 * sum(c >= "\x80" for c in word) else 0.0
@@ -283,11 +292,13 @@ def _in_order(words: list[str]) -> bool:
     return sum(map(natural, words)) >= -0.5 * sum(c >= "\x80" for w in words for c in w)
 
 
-def _byte_options(held: list[str]) -> list[tuple[float, int, int, list[str]]]:
+def _byte_options(held: list[str], ends: list[bool]) -> list[tuple[float, int, int, list[str]]]:
     """Stretches that gain by another one-byte encoding."""
     if sum(_suspect(w) for w in held if not w.isascii()) > -1.9:
         return []
     chars = {ord(c) for w in held for c in w if c >= "\x80"}
+    scripts = Counter(k for w in held for c in w if c >= "\x80" and (k := _kind(c)) in "hc")
+    main = max(scripts, key=scripts.get) if scripts and max(scripts.values()) >= 0.6 * scripts.total() else None
     options = []
     for _, _, table in _pairs():
         if not chars & table.keys():
@@ -303,12 +314,12 @@ def _byte_options(held: list[str]) -> list[tuple[float, int, int, list[str]]]:
             else:
                 new.append(w.translate(table))
                 gain.append(natural(new[-1]) - natural(w))
-        for s, a, b in _whole_runs(gain, _segments(gain, 8.0)):
+        for s, a, b in _widened(gain, _segments(gain, 8.0), new, ends):
             pairs = [(x, y) for k in range(a, b + 1) for x, y in zip(held[k], new[k]) if x != y]
             if len(pairs) < LEAST_LETTERS and any(_kind(y) in "hc" for _, y in pairs):
                 continue
             letters = all("֐" < x < "׿" or _kind(x) == "c" for x, _ in pairs)
-            if all("א" <= x <= "ת" for x, _ in pairs):
+            if all(_plain_hebrew(x) for x, _ in pairs):
                 continue  # other scripts seen as Hebrew have signs that Hebrew words lack
             was = sum(natural(held[k]) for k in range(a, b + 1) if held[k] != new[k])
             if letters and len({held[k] for k in range(a, b + 1) if held[k] != new[k]}) < (2 if was <= -1.0 * len(pairs) else LEAST_WORDS_AMONG_LETTERS):
@@ -317,8 +328,11 @@ def _byte_options(held: list[str]) -> list[tuple[float, int, int, list[str]]]:
                 least = LEAST_GAIN_FROM_NONSENSE
             else:
                 least = LEAST_GAIN_AMONG_LETTERS if letters else LEAST_GAIN
-            if s >= max(least, LEAST_GAIN_PER_CHARACTER * len(pairs)) and was < -0.1 * len(pairs) and _in_order(new[a : b + 1]):
-                options.append((s, a, b, new))
+            support = 0.0  # a stretch in another script than all the rest of its text is the likelier to be garbled
+            if letters and main and _kind(pairs[0][0]) != _kind(pairs[0][1]) and scripts[main] > 2 * len(pairs):
+                support = min(4.0, 0.25 * len(pairs)) * (1 if _kind(pairs[0][1]) == main else -1)
+            if s + support >= max(least, LEAST_GAIN_PER_CHARACTER * len(pairs)) and was - support < -0.1 * len(pairs) and _in_order(new[a : b + 1]):
+                options.append((s + support, a, b, new))
     return options
 
 
@@ -338,17 +352,33 @@ def _segments(gain: list[float | None], fall: float = 4.0) -> list[tuple[float,
     return found
 
 
-def _whole_runs(gain: list[float | None], segments: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
-    """Widens a stretch to all words around it that can be read, where that loses little."""
+def _widened(gain: list[float | None], segments: list[tuple[float, int, int]], new: list[str], ends: list[bool]) -> list[tuple[float, int, int]]:
+    """Stretches widened to words that belong to them although they gain nothing.
+
+    Stretches of Hebrew or Cyrillic text take in all words around that can be
+    read, where that loses little. Others take in words of the same sentence
+    that lose nothing; ``ends`` tells after which words a sentence or line ends.
+    """
     wide = []
     for s, a, b in segments:
         first, last = a, b
-        while first > 0 and gain[first - 1] is not None:
-            first -= 1
-        while last + 1 < len(gain) and gain[last + 1] is not None:
-            last += 1
-        total = sum(gain[first : last + 1])
-        wide.append((total, first, last) if total > max(0.75 * s, s - 6) else (s, a, b))
+        if any(_kind(c) in "hc" for w in new[a : b + 1] for c in w):
+            while first > 0 and gain[first - 1] is not None:
+                first -= 1
+            while last + 1 < len(gain) and gain[last + 1] is not None:
+                last += 1
+            while first < a and gain[first] < 0 and sum(c >= "\x80" for c in new[first]) < 2:
+                first += 1
+            while last > b and gain[last] < 0 and sum(c >= "\x80" for c in new[last]) < 2:
+                last -= 1
+            total = sum(gain[first : last + 1])
+            wide.append((total, first, last) if total > max(0.75 * s, s - 6) else (s, a, b))
+        else:
+            while first > 0 and not ends[first - 1] and (gain[first - 1] or 0) > -0.3 and gain[first - 1] is not None:
+                first -= 1
+            while last + 1 < len(gain) and not ends[last] and (gain[last + 1] or 0) > -0.3 and gain[last + 1] is not None:
+                last += 1
+            wide.append((sum(gain[first : last + 1]), first, last))
     return list(dict.fromkeys(wide))
 
 
@@ -366,7 +396,8 @@ def restore(text: str | None) -> str | None:
     for _ in range(4):
         words = [m.span() for m in _WORD.finditer(done)]
         held = [done[a:b] for a, b in words]
-        again = _apply(done, words, _sequence_options(held) + _byte_options(held))
+        ends = [done[b - 1] in ".!?" or "\n" in done[b:c] for (_, b), (c, _) in zip(words, words[1:])] + [True]
+        again = _apply(done, words, _sequence_options(held) + _byte_options(held, ends))
         if again == done:
             break
         done = again
