@@ -120,3 +120,13 @@ def ci_element(payload: str | Column, name: str) -> Column:
     entries = F.filter(F.map_entries(_c(payload)), lambda e: F.lower(e["key"]) == name.lower())
     value = F.try_element_at(entries, F.lit(1))["value"]
     return F.when(F.lower(trimmed(value)) != "nan", value)
+
+
+def first_rule(rules: Sequence[tuple[Column, str | Column]], otherwise: str | Column) -> Column:
+    """The value of the first rule whose condition holds; a null condition doesn't hold."""
+    result = None
+    for condition, value in rules:
+        value = value if isinstance(value, Column) else F.lit(value)
+        result = F.when(condition, value) if result is None else result.when(condition, value)
+    rest = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
+    return rest if result is None else result.otherwise(rest)

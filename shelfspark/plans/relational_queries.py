@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..operators import merge, relational
+from ..operators import merge, ranking, relational
 from ..sources.tables import table, utc
 
 AS_OF = "2025-04-15"
@@ -303,7 +303,8 @@ def win_bucket_quota(spark, folder):
 @query("""SELECT product_id, store_id, epoch_us(updated_at) AS at_us, bool_or(coalesce(b_is_weighted, FALSE)) OVER (PARTITION BY product_id, store_id) AS ever_weighted FROM (SELECT DISTINCT product_id, store_id, updated_at, b_is_weighted FROM product_prices)""")
 def win_bool_or(spark, folder):
     rows = table(spark, folder, "product_prices", "product_id", "store_id", "updated_at", "b_is_weighted").distinct()
-    return rows.select("product_id", "store_id", F.unix_micros("updated_at").alias("at_us"), F.bool_or(F.coalesce("b_is_weighted", F.lit(False))).over(Window.partitionBy("product_id", "store_id")).alias("ever_weighted"))
+    ever = rows.groupBy("product_id", "store_id").agg(F.bool_or(F.coalesce("b_is_weighted", F.lit(False))).alias("ever_weighted"))
+    return rows.join(ever, ["product_id", "store_id"]).select("product_id", "store_id", F.unix_micros("updated_at").alias("at_us"), "ever_weighted")
 
 
 @query("""WITH best AS (SELECT store_db_id, item_code, max(discount_percent) AS pct, max(discount_amount) AS amt FROM store_promotions_cache GROUP BY ALL),
@@ -322,8 +323,7 @@ def win_dual_rank(spark, folder):
 def win_rerank_flag(spark, folder):
     rows = table(spark, folder, "top_promotions_cache", "store_id", "item_code", "has_image", "smart_score").filter("smart_score IS NOT NULL")
     best = rows.groupBy("store_id", "item_code").agg(F.max(F.when(F.col("has_image"), 1).otherwise(0)).alias("image"), F.max("smart_score").alias("score"))
-    w = Window.partitionBy("store_id").orderBy(F.desc("image"), F.desc("score"), "item_code")
-    return best.select("store_id", "item_code", F.row_number().over(w).cast("bigint").alias("new_rank"))
+    return ranking.rank_all(best, ["store_id"], [F.desc("image"), F.desc("score"), F.col("item_code")], "new_rank").select("store_id", "item_code", "new_rank")
 
 
 @query("""SELECT product_id, store_id, epoch_us(updated_at) AS at_us, CAST(last_value(price IGNORE NULLS) OVER (PARTITION BY product_id, store_id ORDER BY updated_at ROWS UNBOUNDED PRECEDING) * 10000 AS BIGINT) AS filled_e4

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import checkpoint_root
 from ..functions import clean, text
-from ..operators import folding, relational, shred
+from ..operators import folding, relational, search, shred
 from ..sources import feeds
 from ..sources.tables import table
 from ..streaming import feeds as streams
@@ -29,6 +29,12 @@ def query(sql: str | None = None):
     return register
 
 
+def _chain_counts(spark: SparkSession, folder: str) -> DataFrame:
+    prices = table(spark, folder, "product_prices", F.col("product_id").alias("id"), "store_id", "price").filter("price IS NOT NULL").select("id", "store_id").distinct()
+    stores = table(spark, folder, "stores", F.col("id").alias("store_id"), "chain_id")
+    return prices.join(stores, "store_id").groupBy("id").agg(F.countDistinct("chain_id").alias("chain_count"))
+
+
 @query(r"""SELECT id, regexp_replace(trim(coalesce(item_code, ''), E' \t\r\n'), '\.0$', '') AS cleaned, CASE WHEN regexp_full_match(trim(item_code, E' \t\r\n'), '[0-9]+') THEN coalesce(nullif(ltrim(trim(item_code, E' \t\r\n'), '0'), ''), '0') ELSE trim(item_code, E' \t\r\n') END AS plain FROM products""")
 def clean_ids(spark, folder):
     return table(spark, folder, "products", "id", "item_code").select("id", clean.clean_id("item_code").alias("cleaned"), clean.plain_digits("item_code").alias("plain"))
@@ -131,13 +137,28 @@ def json_level_columns(spark, folder):
 def search_match(spark, folder):
     words = text.tokens(F.concat_ws(" ", F.coalesce("item_name", F.lit("")), F.coalesce("manufacturer_name", F.lit(""))))
     hits = table(spark, folder, "products", "id", "item_code", "item_name", "manufacturer_name").filter(text.matches_all(words, "מעדן חלב")).select("id", "item_code")
-    prices = table(spark, folder, "product_prices", F.col("product_id").alias("id"), "store_id", "price").filter("price IS NOT NULL").select("id", "store_id")
-    stores = table(spark, folder, "stores", F.col("id").alias("store_id"), "chain_id")
-    chains = prices.join(hits.select("id"), "id", "left_semi").distinct().join(stores, "store_id").groupBy("id").agg(F.countDistinct("chain_id").alias("chains"))
+    chains = _chain_counts(spark, folder).withColumnRenamed("chain_count", "chains")
     ranked = hits.join(chains, "id", "left").select("id", "item_code", F.coalesce("chains", F.lit(0)).alias("chains"))
     return ranked.orderBy(F.desc("chains"), "item_code", "id").limit(50)
 
 
+@query(r"""WITH words AS (SELECT id, item_code, coalesce(item_name, '') AS n, coalesce(manufacturer_name, '') AS m, list_filter(string_split_regex(lower(coalesce(item_name, '') || ' ' || coalesce(manufacturer_name, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM products),
+    popular AS (SELECT product_id, count(DISTINCT s.chain_id) AS chains FROM product_prices p JOIN stores s ON s.id = p.store_id WHERE p.price IS NOT NULL GROUP BY product_id)
+    SELECT q.id, coalesce(chains, 0) AS chain_count, CAST(floor((len(list_filter(w, lambda t: t = 'שוקולד')) * CAST(0.1 AS DOUBLE) + ln(1 + coalesce(chains, 0)) * CAST(0.2 AS DOUBLE) + least(coalesce(chains, 0), 20) * CAST(0.03 AS DOUBLE)) * 1000 + 0.5) AS BIGINT) AS rank_e3
+    FROM words q LEFT JOIN popular ON product_id = q.id WHERE list_contains(w, 'שוקולד') OR contains(lower(n), 'שוקולד') OR contains(lower(m), 'שוקולד')""")
+def search_ranked(spark, folder):
+    products = table(spark, folder, "products", "id", "item_code", "item_name", "manufacturer_name")
+    found = search.search_ranked(products, _chain_counts(spark, folder), "שוקולד")
+    return found.select("id", "chain_count", F.floor(F.col("search_rank") * 1000 + 0.5).alias("rank_e3"))
+
+
+@query()
+def search_two_stage(spark, folder):
+    """A misspelt query: too few hits by words, so similar names follow."""
+    products = table(spark, folder, "products", "id", "item_code", "item_name", "manufacturer_name")
+    return search.two_stage_search(products, _chain_counts(spark, folder), "שוקלד חלב", 5, 0.2).select("id", "stage", "chain_count", "search_rank")
+
+
 @query(r"""WITH words AS (SELECT id, list_filter(string_split_regex(lower(coalesce(item_name, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM products)
     SELECT id FROM words WHERE (list_contains(w, 'שוקולד') OR list_contains(w, 'chocolate')) AND NOT list_contains(w, 'מריר')""")
 def search_web(spark, folder):

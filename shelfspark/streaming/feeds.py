@@ -104,3 +104,10 @@ def refresh_touched(stream: DataFrame, keys: Sequence[str], refresh: Callable[[D
         refresh(df.select(*keys).distinct(), number)
 
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def with_flush_records(rows: DataFrame, file: str = "file_name") -> DataFrame:
+    """Rows as messages (key, value as JSON) with one flush record per file after them (batch only)."""
+    data = rows.select(F.col(file).alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"))
+    ends = rows.select(F.col(file).alias("key")).distinct().withColumn("value", F.to_json(F.struct(F.lit("flush").alias("type"), F.col("key").alias(file))))
+    return data.unionByName(ends)
