@@ -34,3 +34,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before slow work on each, where the input has fewer splits than the cluster has cores.
+
+    Large inputs have splits enough and pass unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
