@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ranking import numbered
+
 
 def best_rows(rows: DataFrame, group: Sequence[str], item: str, score: str, tie: str) -> DataFrame:
     """One row per group and item: its highest ``score``, and the smallest ``tie`` of those.
@@ -25,32 +24,6 @@ def best_rows(rows: DataFrame, group: Sequence[str], item: str, score: str, tie:
     return best.select(*group, item, (-F.col("best_.s")).alias(score), F.col("best_.t").alias(tie))
 
 
-def _local_positions(group: Sequence[str], most: int):
-    """Numbers the rows of each group within a sorted partition and keeps the first ``most``."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, count = None, 0
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            keys = [batch.column(g) for g in group]
-            begins = np.zeros(n, dtype=bool)
-            if n > 1:
-                for k in keys:
-                    begins[1:] |= pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-            begins[0] = [k[0].as_py() for k in keys] != last
-            starts = np.where(begins, np.arange(n), 0)
-            np.maximum.accumulate(starts, out=starts)
-            place = np.arange(1, n + 1) - starts
-            if not begins[0]:
-                place[: int(np.argmax(begins)) or n] += count
-            last, count = [k[n - 1].as_py() for k in keys], int(place[-1])
-            yield batch.append_column("local_position_", pa.array(place, pa.int64())).filter(pa.array(place <= most))
-
-    return number
-
-
 def top_positions(rows: DataFrame, group: Sequence[str], order: Sequence[Column], most: int, partitions: int | None = None) -> DataFrame:
     """``rows`` with ``position`` in their group, those up to ``most``.
 
@@ -67,7 +40,7 @@ def top_positions(rows: DataFrame, group: Sequence[str], order: Sequence[Column]
     n = partitions or max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [*[F.col(g) for g in group], *order]
     ordered = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("part_", F.spark_partition_id())
-    local = ordered.mapInArrow(_local_positions(group, most), T.StructType([*ordered.schema, T.StructField("local_position_", T.LongType())]))
+    local = ordered.mapInArrow(numbered(group, most), T.StructType([*ordered.schema, T.StructField("local_position_", T.LongType())]))
     earlier = Window.partitionBy(*group).orderBy("part_").rangeBetween(Window.unboundedPreceding, -1)
     position = F.col("local_position_") + F.count(F.lit(1)).over(earlier)
     return local.withColumn("position", position.cast("bigint")).filter(F.col("position") <= most).drop("part_", "local_position_")
