@@ -416,6 +416,6 @@ def garbled_documents(documents: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             yield batch.map(lambda t: None if (r := restore(t)) is None else r and hashlib.md5(r.encode("utf-8", "surrogatepass")).hexdigest())
 
-    restored = F.pandas_udf(md5, "string")
+    restored = F.pandas_udf(md5, "string").asNondeterministic()  # else the filter below would run it again
     odd = documents.select(key, text).filter(F.col(text).rlike(r"[^\x00-\x7f]"))
     return odd.select(key, restored(text).alias("restored_md5")).filter(F.col("restored_md5").isNotNull())
