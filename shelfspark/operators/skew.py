@@ -25,6 +25,8 @@ def hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, bu
     than ``buckets`` numbers come to the driver.
     """
     counts = df.groupBy(bucket_of(keys, buckets).alias("bucket")).count()
-    limit = counts.agg(F.greatest(F.lit(float(hot_rows)), 3 * F.sum("count") / buckets).alias("least"))
-    hot = counts.join(F.broadcast(limit), F.col("count") > F.col("least"))  # against one row
-    return {r["bucket"]: r["count"] for r in hot.select("bucket", "count").collect()}
+    large = {r["bucket"]: r["count"] for r in counts.filter(F.col("count") > hot_rows).collect()}
+    if not large:
+        return {}
+    mean = counts.agg(F.sum("count")).first()[0] / buckets
+    return {b: n for b, n in large.items() if n > 3 * mean}
