@@ -37,9 +37,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores before slow work on each, where the input has fewer splits than the cluster has cores.
+    """Rows over all cores before slow work on each, where the input has few splits for the cluster's cores.
 
-    Large inputs have splits enough and pass unchanged, without a shuffle.
+    With fewer than four splits a core, rows are dealt out to four tasks a core,
+    so that uneven splits leave no core idle. Larger inputs pass unchanged,
+    without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
