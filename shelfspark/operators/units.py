@@ -178,7 +178,7 @@ def normalise_quantities(rows: DataFrame, keys: list[str], qty: str = "unit_qty"
     """
     canonical = F.col(qty).rlike("^[0-9]+$") & F.col(measure).isin(*CANONICAL)
     dirty = rows.select(*keys, qty, measure, weighted).filter(F.col(qty).isNotNull() & ~F.coalesce(canonical, F.lit(False)))
-    read = F.pandas_udf(_read_udf, "unit string, amount string")
+    read = F.pandas_udf(_read_udf, "unit string, amount string").asNondeterministic()  # else the filters below would run it again
     parsed = dirty.select(*keys, read(qty, measure, weighted).alias("read_")).select(*keys, F.col("read_.unit").alias("unit_"), F.expr("try_cast(read_.amount as decimal(21,9))").alias("amount_"))
     factors = F.broadcast(conversion_factors(rows.sparkSession).select(F.col("unit").alias("unit_"), F.col("base_unit").alias("base_"), F.col("factor_e6").alias("factor_")))
     product = "cast(amount_ * 1000000000BD as decimal(21,0)) * factor_"
