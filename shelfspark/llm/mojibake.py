@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import spread
+
 LOST = "�"
 # Encodings in which texts of these languages are stored or wrongly read.
 READ_AS = ["cp1252", "latin-1", "cp1255", "cp1251", "mac_roman", "cp437", "cp850", "cp862", "cp866", "koi8_r"]
@@ -409,7 +411,8 @@ def garbled_documents(documents: DataFrame, key: str, text: str) -> DataFrame:
 
     Lower-case hex MD5 of the restored text's UTF-8 bytes, '' where characters
     are lost. Null, blank and plain ASCII texts are in order. Each text is read
-    whole in the task that holds it; nothing is shuffled.
+    whole by one task; texts are shuffled only where there are fewer splits than
+    cores.
     """
 
     def md5(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -417,5 +420,5 @@ def garbled_documents(documents: DataFrame, key: str, text: str) -> DataFrame:
             yield batch.map(lambda t: None if (r := restore(t)) is None else r and hashlib.md5(r.encode("utf-8", "surrogatepass")).hexdigest())
 
     restored = F.pandas_udf(md5, "string").asNondeterministic()  # else the filter below would run it again
-    odd = documents.select(key, text).filter(F.col(text).rlike(r"[^\x00-\x7f]"))
+    odd = spread(documents.select(key, text).filter(F.col(text).rlike(r"[^\x00-\x7f]")))
     return odd.select(key, restored(text).alias("restored_md5")).filter(F.col("restored_md5").isNotNull())
