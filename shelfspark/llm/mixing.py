@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import pandas as pd
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -70,10 +70,11 @@ def source_rates(texts: DataFrame, targets: DataFrame, total: int | None = None)
     sizes = texts.groupBy("source_name").agg(F.sum("tokens").alias("available_tokens"), F.count(F.lit(1)).alias("texts"))
     joined = goals.join(F.broadcast(sizes), "source_name", "left").fillna(0, ["available_tokens", "texts"])
     usable = F.when((F.col("available_tokens") > 0) & (F.col("target_share") > 0), F.col("target_share"))
-    bound = joined.agg(F.sum(usable).alias("shares"), F.min(F.col("max_repeats") * F.col("available_tokens") / usable).alias("feasible"))
+    whole = Window.partitionBy(F.lit(0))  # one row per source
+    joined = joined.withColumns({"shares": F.sum(usable).over(whole), "feasible": F.min(F.col("max_repeats") * F.col("available_tokens") / usable).over(whole)})
     size = F.lit(float(total)) if total is not None else F.col("feasible") * F.col("shares")
     rate = F.when(usable.isNotNull(), F.least(usable / F.col("shares") * size / F.col("available_tokens"), F.col("max_repeats").cast("double"))).otherwise(0.0)
-    return joined.join(F.broadcast(bound)).select("source_name", "target_share", "max_repeats", "available_tokens", "texts", rate.alias("rate"))
+    return joined.select("source_name", "target_share", "max_repeats", "available_tokens", "texts", rate.alias("rate"))
 
 
 def chosen_repeats(texts: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
@@ -93,6 +94,6 @@ def actual_shares(rates: DataFrame, chosen: DataFrame) -> DataFrame:
     """Target and actual share of each source of the target list; 0 where nothing is used."""
     used = chosen.groupBy("source_name").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"), F.max("copies").alias("most_repeats"))
     joined = rates.join(F.broadcast(used), "source_name", "left").fillna(0, ["mixed_tokens", "most_repeats"])
-    total = joined.agg(F.sum("mixed_tokens").alias("all_tokens"))
-    share = F.when(F.col("all_tokens") > 0, F.col("mixed_tokens") / F.col("all_tokens")).otherwise(0.0)
-    return joined.join(F.broadcast(total)).select("source_name", "target_share", "max_repeats", "texts", "available_tokens", "rate", "mixed_tokens", "most_repeats", share.alias("actual_share"))
+    total = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(0)))
+    share = F.when(total > 0, F.col("mixed_tokens") / total).otherwise(0.0)
+    return joined.select("source_name", "target_share", "max_repeats", "texts", "available_tokens", "rate", "mixed_tokens", "most_repeats", share.alias("actual_share"))
