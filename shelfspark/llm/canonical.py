@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NO_ENTRY = -1
-MAX_BROADCAST_ENTRIES = 100_000
+MAX_BROADCAST_ENTRIES = 5_000
 
 # Words that are no part of a name, for places and companies.
 NOISE = frozenset(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 MIN_WORDS = 12
 ALTERED = 0.1
-ITEMS_PER_BLOCK = 20_000
+ITEMS_PER_BLOCK = 5_000
 
 
 @lru_cache(maxsize=500_000)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -244,13 +245,15 @@ def _apply(text: str, words: list[tuple[int, int]], options: list[tuple[float, i
     """Replaces the stretches of words that gain most, none over another."""
     taken: list[tuple[int, int, list[str]]] = []
     for _, a, b, new in sorted(options, key=lambda s: (-s[0], s[1])):
-        if all(b < x or a > y for x, y, _ in taken):
-            taken.append((a, b, new))
-    for a, b, new in sorted(taken, key=lambda t: -t[0]):
-        for k in range(b, a - 1, -1):
-            start, end = words[k]
-            text = text[:start] + new[k] + text[end:]
-    return text
+        at = bisect_left(taken, a, key=lambda t: t[0])
+        if (at == 0 or taken[at - 1][1] < a) and (at == len(taken) or taken[at][0] > b):
+            taken.insert(at, (a, b, new))
+    out, end = [], 0
+    for a, b, new in taken:
+        for k in range(a, b + 1):
+            out += [text[end : words[k][0]], new[k]]
+            end = words[k][1]
+    return "".join([*out, text[end:]])
 
 
 @lru_cache(maxsize=200_000)
@@ -334,7 +337,7 @@ def _byte_options(held: list[str], ends: list[bool]) -> list[tuple[float, int, i
             if letters and main and _kind(pairs[0][0]) != _kind(pairs[0][1]) and scripts[main] > 2 * len(pairs):
                 support = min(4.0, 0.25 * len(pairs)) * (1 if _kind(pairs[0][1]) == main else -1)
             if s + support >= max(least, LEAST_GAIN_PER_CHARACTER * len(pairs)) and was - support < -0.1 * len(pairs) and _in_order(new[a : b + 1]):
-                options.append((s + support, a, b, new))
+                options.append((s + support, a, b, _without_harm(gain, a, b, held, new, ends, 6.0 if letters else 2.0)))
     return options
 
 
@@ -361,27 +364,46 @@ def _widened(gain: list[float | None], segments: list[tuple[float, int, int]], n
     read, where that loses little. Others take in words of the same sentence
     that lose nothing; ``ends`` tells after which words a sentence or line ends.
     """
+    begun, upto = 0, [0.0]  # sums of the gains before each word
+    run_start = []
+    for i, g in enumerate(gain):
+        begun = i + 1 if g is None else begun
+        run_start.append(begun)
+        upto.append(upto[-1] + (g or 0.0))
+    stop, run_stop = len(gain) - 1, [0] * len(gain)
+    for i in range(len(gain) - 1, -1, -1):
+        stop = i - 1 if gain[i] is None else stop
+        run_stop[i] = stop
     wide = []
     for s, a, b in segments:
-        first, last = a, b
         if any(_kind(c) in "hc" for w in new[a : b + 1] for c in w):
-            while first > 0 and gain[first - 1] is not None:
-                first -= 1
-            while last + 1 < len(gain) and gain[last + 1] is not None:
-                last += 1
+            first, last = run_start[a], run_stop[b]
             while first < a and gain[first] < 0 and sum(c >= "\x80" for c in new[first]) < 2:
                 first += 1
             while last > b and gain[last] < 0 and sum(c >= "\x80" for c in new[last]) < 2:
                 last -= 1
-            total = sum(gain[first : last + 1])
+            total = upto[last + 1] - upto[first]
             wide.append((total, first, last) if total > max(0.75 * s, s - 6) else (s, a, b))
         else:
+            first, last = a, b
             while first > 0 and not ends[first - 1] and (gain[first - 1] or 0) > -0.3 and gain[first - 1] is not None:
                 first -= 1
             while last + 1 < len(gain) and not ends[last] and (gain[last + 1] or 0) > -0.3 and gain[last + 1] is not None:
                 last += 1
-            wide.append((sum(gain[first : last + 1]), first, last))
-    return list(dict.fromkeys(wide))
+            wide.append((upto[last + 1] - upto[first], first, last))
+    return list({(a, b): (s, a, b) for s, a, b in wide}.values())
+
+
+def _without_harm(gain: list[float | None], a: int, b: int, held: list[str], new: list[str], ends: list[bool], most: float) -> list[str]:
+    """``new`` with the words of sentences between ``a`` and ``b`` that lose more than ``most`` left as they are."""
+    kept, start = new, a
+    for k in range(a, b + 1):
+        if ends[k] or k == b:
+            if sum(gain[start : k + 1]) < -most:
+                kept = list(new) if kept is new else kept
+                kept[start : k + 1] = held[start : k + 1]
+            start = k + 1
+    return kept
 
 
 def restore(text: str | None) -> str | None:

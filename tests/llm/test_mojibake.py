@@ -45,6 +45,13 @@ def test_lost_characters():
     assert restore(garble(HE, "utf-8", "cp1252")[:40] + LOST) == ""
 
 
+def test_very_long_texts_take_time_in_proportion():
+    long = (garble(HE, "utf-8", "cp1252") + " " + FR + "\n") * 500
+    assert restore(long) == (HE + " " + FR + "\n") * 500
+    mixed = (garble(HE, "cp1255", "cp1252") + "\n" + EN + "\n") * 500
+    assert restore(mixed) == (HE + "\n" + EN + "\n") * 500
+
+
 def test_rows(spark):
     bad = garble(FR, "utf-8", "cp1252")
     rows = [(1, bad), (2, FR), (3, None), (4, ""), (5, bad + LOST), (6, bad * 300), (6, bad * 300), (None, bad)]
