@@ -17,7 +17,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = "file://" + tempfile.mkdtemp(prefix="shelfspark-")
     spark.conf.set("spark.checkpoint.dir", root)
