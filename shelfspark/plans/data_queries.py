@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.history import history
+from ..operators.history import OPEN, history
 from ..operators.orphans import Reference, orphan_references, parent_intervals
 from ..operators.shred import child_rows
 from ..operators.units import normalise_quantities
-from ..sources.tables import table, unix_second
+from ..sources.tables import table, unix_micro, unix_second
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,8 +32,9 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     prices = table(spark, folder, "product_prices", "product_id", "store_id", "price", "promo_price", "updated_at")
-    versions = history(prices, ["product_id", "store_id"], unix_second(prices, "updated_at"), ["price", "promo_price"])
-    return versions.select("product_id", "store_id", "valid_from", "valid_to")
+    versions = history(prices, ["product_id", "store_id"], unix_micro(prices, "updated_at"), ["price", "promo_price"])
+    second = lambda c: F.expr(f"({c} - pmod({c}, 1000000)) div 1000000")
+    return versions.select("product_id", "store_id", second("valid_from").alias("valid_from"), F.when(F.col("valid_to") == OPEN, OPEN).otherwise(second("valid_to")).cast("bigint").alias("valid_to"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

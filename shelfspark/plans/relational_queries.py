@@ -433,3 +433,54 @@ def nation_rollup(spark, folder):
     nations = table(spark, folder, "nation", "n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey")).join(table(spark, folder, "region", "r_regionkey", "r_name"), "r_regionkey")
     joined = orders.join(customers, "c_custkey").groupBy("n_nationkey").agg(F.sum("n").alias("orders"), F.sum("cents").alias("cents")).join(nations, "n_nationkey")
     return joined.select(F.col("n_name").alias("nation"), F.col("r_name").alias("region"), "orders", "cents")
+
+
+@query("""SELECT DISTINCT ON (chain_id) chain_id, coalesce(nullif(trim(chain_name), ''), chain_id) AS shown_name, count(*) OVER (PARTITION BY chain_id) AS stores FROM stores
+    ORDER BY chain_id, (trim(coalesce(chain_name, '')) = ''), updated_at DESC NULLS LAST, id""")
+def chain_list(spark, folder):
+    rows = table(spark, folder, "stores", "id", "chain_id", "chain_name", "updated_at")
+    order = F.struct((F.trim(F.coalesce("chain_name", F.lit(""))) == "").alias("blank"), F.coalesce(-F.unix_micros("updated_at"), F.lit(1)).alias("newest"), "id")
+    best = rows.groupBy("chain_id").agg(F.min_by("chain_name", order).alias("chain_name"), F.count(F.lit(1)).alias("stores"))
+    return best.select("chain_id", F.coalesce(F.nullif(F.trim("chain_name"), F.lit("")), "chain_id").alias("shown_name"), "stores")
+
+
+@query("""WITH offers AS (SELECT s.city, s.chain_id, p.product_id, s.id AS store, min(p.price) AS least, bool_or(p.promo_price < p.price) AS promo FROM product_prices p JOIN stores s ON s.id = p.store_id WHERE p.price > 0 AND trim(s.city) <> '' GROUP BY ALL),
+    chains AS (SELECT city, chain_id, product_id, min(least) AS least, count(*) AS stores, bool_or(promo) AS promo FROM offers GROUP BY ALL)
+    SELECT city, product_id, count(*) AS chain_count, CAST(sum(stores) AS BIGINT) AS store_count, CAST(min(least) * 10000 AS BIGINT) AS least_e4, bool_or(promo) AS any_promo, string_agg(chain_id, ',' ORDER BY chain_id) AS chains FROM chains GROUP BY ALL""")
+def city_availability(spark, folder):
+    prices = table(spark, folder, "product_prices", "product_id", "store_id", "price", "promo_price").filter("price > 0")
+    by_store = prices.groupBy("product_id", "store_id").agg(F.min("price").alias("least"), F.bool_or(F.col("promo_price") < F.col("price")).alias("promo"))
+    stores = table(spark, folder, "stores", F.col("id").alias("store_id"), "city", "chain_id").filter("trim(city) <> ''")
+    chains = by_store.join(stores, "store_id").groupBy("city", "chain_id", "product_id").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("stores"), F.bool_or("promo").alias("promo"))
+    return chains.groupBy("city", "product_id").agg(
+        F.count(F.lit(1)).alias("chain_count"), F.sum("stores").alias("store_count"), (F.min("least") * 10000).cast("bigint").alias("least_e4"), F.bool_or("promo").alias("any_promo"), F.array_join(F.array_sort(F.collect_list("chain_id")), ",").alias("chains")
+    )
+
+
+@query("""WITH stages AS (SELECT item_code, 'listed' AS stage FROM products UNION ALL SELECT q.item_code, 'priced' FROM product_prices p JOIN products q ON q.id = p.product_id
+    UNION ALL SELECT item_code, 'watched' FROM observations UNION ALL SELECT item_code, 'top' FROM top_promotions_cache UNION ALL SELECT item_code, 'store' FROM store_promotions_cache)
+    SELECT item_code, count(*) FILTER (stage = 'listed') AS listed, count(*) FILTER (stage = 'priced') AS priced, count(*) FILTER (stage = 'watched') AS watched, count(*) FILTER (stage = 'top') AS top_rows, count(*) FILTER (stage = 'store') AS store_rows,
+        CASE WHEN count(*) FILTER (stage = 'listed') = 0 THEN 'unlisted' WHEN count(*) FILTER (stage = 'priced') = 0 THEN 'unpriced' WHEN count(*) FILTER (stage IN ('top', 'store')) = 0 THEN 'uncached' ELSE 'complete' END AS first_gap
+    FROM stages WHERE item_code IS NOT NULL GROUP BY item_code""")
+def code_lineage(spark, folder):
+    """How often each item code occurs at each stage, and the first stage where it is missing."""
+    count = lambda df, stage: df.filter("item_code IS NOT NULL").groupBy("item_code").agg(F.count(F.lit(1)).alias(stage))
+    products = table(spark, folder, "products", "id", "item_code")
+    priced = table(spark, folder, "product_prices", F.col("product_id").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(products, "id")
+    parts = {
+        "listed": count(products, "listed"), "priced": priced.filter("item_code IS NOT NULL").groupBy("item_code").agg(F.sum("n").alias("priced")), "watched": count(table(spark, folder, "observations", "item_code"), "watched"),
+        "top_rows": count(table(spark, folder, "top_promotions_cache", "item_code"), "top_rows"), "store_rows": count(table(spark, folder, "store_promotions_cache", "item_code"), "store_rows"),
+    }
+    union = None
+    for df in parts.values():
+        union = df if union is None else union.unionByName(df, allowMissingColumns=True)
+    sums = union.groupBy("item_code").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts])
+    gap = F.when(F.col("listed") == 0, "unlisted").when(F.col("priced") == 0, "unpriced").when(F.col("top_rows") + F.col("store_rows") == 0, "uncached").otherwise("complete")
+    return sums.withColumn("first_gap", gap)
+
+
+@query("""WITH RECURSIVE steps AS (SELECT chain_id, updated_at, row_number() OVER (PARTITION BY chain_id ORDER BY updated_at, promotion_id, promotion_description) AS n FROM promotions)
+    SELECT chain_id, CAST(max(n) AS BIGINT) AS sent, epoch_us(min(updated_at)) AS first_us, epoch_us(max(updated_at)) AS last_us, CAST(floor(date_diff('second', min(updated_at), max(updated_at)) / 86400) AS BIGINT) AS days FROM steps GROUP BY chain_id""")
+def send_ledger(spark, folder):
+    rows = table(spark, folder, "promotions", "chain_id", "updated_at").groupBy("chain_id").agg(F.count(F.lit(1)).alias("sent"), F.min("updated_at").alias("a"), F.max("updated_at").alias("b"))
+    return rows.select("chain_id", "sent", F.unix_micros("a").alias("first_us"), F.unix_micros("b").alias("last_us"), F.floor((F.unix_seconds("b") - F.unix_seconds("a")) / 86400).alias("days"))

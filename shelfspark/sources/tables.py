@@ -25,3 +25,10 @@ def unix_second(df: DataFrame, column: str) -> Column:
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
         return F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', date_trunc('SECOND', `{column}`))").cast("bigint")
     return F.unix_seconds(F.col(column))
+
+
+def unix_micro(df: DataFrame, column: str) -> Column:
+    """Unix microseconds of ``column``, read as UTC where it has no zone."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{column}`)").cast("bigint")
+    return F.unix_micros(F.col(column))
