@@ -299,15 +299,21 @@ def _in_order(words: list[str]) -> bool:
 
 def _byte_options(held: list[str], ends: list[bool]) -> list[tuple[float, int, int, list[str]]]:
     """Stretches that gain by another one-byte encoding."""
-    if sum(_suspect(w) for w in held if not w.isascii()) > -1.9:
+    suspects = {w: x for w in held if not w.isascii() and (x := _suspect(w)) < 0}
+    if sum(suspects.get(w, 0.0) for w in held) > -1.9:
         return []
     chars = {ord(c) for w in held for c in w if c >= "\x80"}
     scripts = Counter(k for w in held for c in w if c >= "\x80" and (k := _kind(c)) in "hc")
     main = max(scripts, key=scripts.get) if scripts and max(scripts.values()) >= 0.6 * scripts.total() else None
-    options = []
+    options, seen = [], set()
     for _, _, table in _pairs():
-        if not chars & table.keys():
-            continue
+        here = frozenset((c, table[c]) for c in chars & table.keys())
+        if not here or here in seen:
+            continue  # as another pair reads this text
+        seen.add(here)
+        readable = [w for w in suspects if all(c < "\x80" or ord(c) in table for c in w)]
+        if not any(natural(w.translate(table)) - natural(w) >= 1.0 for w in readable):
+            continue  # the right reading makes some odd word clearly more natural
         new, gain = [], []
         for w in held:
             if w.isascii():
