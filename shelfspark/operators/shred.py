@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ REPEATED = None  # the step of a path into the elements of a list
 Path = tuple  # of key names and REPEATED
 Column_ = list[tuple[int, int, str | None]]
 MAX_DEPTH = 400
+ROWS_PER_FRAME = 20_000
 
 
 def parse_json(text: str | None) -> object:
@@ -152,6 +154,17 @@ def nested_rows(value: object, code_key: str = "itemcode", group_key: str = "gro
     return [(nearest(groups, owner, at, False), nearest(codes, owner, at, True), code) for owner, rows in codes.items() for at, code in rows.items()]
 
 
+def _records(batches: Iterator[pd.DataFrame], ids: Sequence[str], json_column: str) -> Iterator[tuple[tuple, str]]:
+    for batch in batches:
+        yield from zip(batch[list(ids)].itertuples(index=False, name=None), batch[json_column])
+
+
+def _frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows in frames of bounded length, so one batch of large records needs little memory."""
+    while chunk := list(islice(rows, ROWS_PER_FRAME)):
+        yield pd.DataFrame(chunk, columns=columns)
+
+
 def shred_items(rows: DataFrame, ids: Sequence[str], json_column: str) -> DataFrame:
     """ids, group_no, parent_code, child_key of each nested object with an item code.
 
@@ -160,10 +173,8 @@ def shred_items(rows: DataFrame, ids: Sequence[str], json_column: str) -> DataFr
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys = list(batch[list(ids)].itertuples(index=False, name=None))
-            out = [(*k, *row) for k, text in zip(keys, batch[json_column]) for row in nested_rows(parse_json(text))]
-            yield pd.DataFrame(out, columns=[*ids, "group_no", "parent_code", "child_key"])
+        rows_of = ((*k, *row) for k, text in _records(batches, ids, json_column) for row in nested_rows(parse_json(text)))
+        yield from _frames(rows_of, [*ids, "group_no", "parent_code", "child_key"])
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ids)
     held = rows.select(*ids, json_column).filter(F.col(json_column).rlike(r"[\[{]"))
@@ -178,14 +189,14 @@ def level_columns(rows: DataFrame, ids: Sequence[str], json_column: str) -> Data
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for key, text in zip(batch[list(ids)].itertuples(index=False, name=None), batch[json_column]):
+        def entries() -> Iterator[tuple]:
+            for key, text in _records(batches, ids, json_column):
                 value = parse_json(text)
                 for path, column in shred(value, leaf_paths(value, lambda _: True)).items():
                     name = "".join("[]" if s is REPEATED else f".{s}" for s in path)
-                    out += [(*key, name, i, r, d, v) for i, (r, d, v) in enumerate(column)]
-            yield pd.DataFrame(out, columns=[*ids, "leaf_path", "entry_no", "repetition", "definition", "leaf_value"])
+                    yield from ((*key, name, i, r, d, v) for i, (r, d, v) in enumerate(column))
+
+        yield from _frames(entries(), [*ids, "leaf_path", "entry_no", "repetition", "definition", "leaf_value"])
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ids)
     return rows.select(*ids, json_column).mapInPandas(read, f"{schema}, leaf_path string, entry_no long, repetition int, definition int, leaf_value string")
