@@ -74,4 +74,21 @@ SQL = {
         SELECT product_id, store_id, valid_from,
             CAST(coalesce(lead(valid_from) OVER (PARTITION BY product_id, store_id ORDER BY valid_from), -1) AS BIGINT) AS valid_to
         FROM begun""",
+    "p7_found": r"""
+        WITH RECURSIVE texts AS (
+            SELECT chain_id, promotion_id, row_number() OVER () AS row_no, trim(ltrim(trim(items, E' \t\r\n'), chr(65279)), E' \t\r\n') AS t FROM promotions),
+        parsed AS (
+            SELECT chain_id, promotion_id, row_no, CASE WHEN starts_with(t, '"') THEN CAST(t AS JSON) ->> '$' ELSE t END AS j FROM texts WHERE json_valid(t)),
+        nodes AS (
+            SELECT row_no, n.id, n.parent, lower(replace(n.key, '_', '')) AS k, trim(n.atom ->> '$', E' \t\r\n') AS v FROM parsed, json_tree(CAST(j AS JSON)) n WHERE json_valid(j)),
+        named AS (SELECT row_no, parent AS owner, k, min(v) AS v FROM nodes WHERE k IN ('itemcode', 'groupid') AND v <> '' GROUP BY ALL),
+        climb AS (
+            SELECT row_no, owner, owner AS above, 0 AS steps FROM named WHERE k = 'itemcode'
+            UNION ALL SELECT c.row_no, c.owner, n.parent, c.steps + 1 FROM climb c JOIN nodes n ON n.row_no = c.row_no AND n.id = c.above WHERE n.parent IS NOT NULL),
+        found AS (
+            SELECT c.row_no, c.owner, arg_min(g.v, c.steps) FILTER (g.k = 'groupid') AS group_no, arg_min(g.v, c.steps) FILTER (g.k = 'itemcode' AND c.steps > 0) AS parent_code
+            FROM climb c LEFT JOIN named g ON g.row_no = c.row_no AND g.owner = c.above GROUP BY ALL)
+        SELECT DISTINCT p.chain_id, p.promotion_id, 'item' AS child_kind, coalesce(f.group_no, '') AS group_no, coalesce(f.parent_code, '') AS parent_code, n.v AS child_key
+        FROM found f JOIN named n ON n.row_no = f.row_no AND n.owner = f.owner AND n.k = 'itemcode' JOIN parsed p ON p.row_no = f.row_no
+        UNION SELECT chain_id, promotion_id, 'store', '', '', s FROM (SELECT chain_id, promotion_id, trim(unnest(available_in_store_ids), E' \t\r\n') AS s FROM promotions) WHERE s <> ''""",
 }
