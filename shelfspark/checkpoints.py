@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +35,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
+
+
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``materialise`` wrote for these tables, once nothing that is still to run reads them."""
+    for table in tables:
+        if path := _written.pop(table, None):
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
