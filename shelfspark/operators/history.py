@@ -67,11 +67,12 @@ def _sliced_versions(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
     heads = heads.filter(F.col("earlier").isNull() | (F.col("earlier") != F.col("hash"))).drop("earlier")
     begun = inner.filter(F.col("before").isNotNull()).unionByName(heads).drop("before", "last_hash")
     nexts = begun.groupBy(*keys, "slice").agg(F.min("at").alias("first_at")).withColumn("later", F.lead("first_at", 1, OPEN).over(over)).drop("first_at")
+    same = reduce(lambda a, b: a & b, [F.col(f"b.{k}").eqNullSafe(F.col(f"n.{k}")) for k in [*keys, "slice"]])
     return (
-        begun.withColumn("inside", F.lead("at").over(w))
-        .join(nexts, [*keys, "slice"])
-        .withColumn("valid_to", F.coalesce("inside", "later"))
-        .drop("inside", "later", "slice")
+        begun.withColumn("inside", F.lead("at").over(w)).alias("b")
+        .join(nexts.alias("n"), same)
+        .select("b.*", F.coalesce("b.inside", "n.later").alias("valid_to"))
+        .drop("inside", "slice")
     )
 
 

@@ -51,6 +51,13 @@ def test_hot_keys_by_slices_equal_brute_force(spark):
         assert found(history(df, ["p", "s"], F.col("at"), ["price", "promo"], hot_rows=20, buckets=16)) == brute(rows)
 
 
+def test_hot_null_keys_equal_brute_force(spark):
+    rows = [(None if r[0] == 1 else r[0], None if r[0] == 1 else r[1], *r[2:]) for r in sample(900, 5)]
+    rows += [(None, 7, *r[2:]) for r in sample(200, 6, hot=1.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert found(history(df, ["p", "s"], F.col("at"), ["price", "promo"], hot_rows=20, buckets=16)) == brute(rows)
+
+
 def test_null_moves_between_attributes_are_changes(spark):
     one = Decimal("1.0000")
     rows = [(1, 1, one, None, 1, "x"), (1, 1, None, one, 2, "x"), (1, 1, None, one, 3, "x")]
