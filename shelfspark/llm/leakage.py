@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -51,17 +52,35 @@ def least_distance(pattern: Sequence[object], text: Sequence[object]) -> int:
     return best
 
 
+def window_sizes(min_words: int, altered: float, longest: int) -> list[tuple[int, int]]:
+    """(words, altered words allowed) of the windows that decide whether a passage of any length is held.
+
+    The shortest passages with k altered words come down to windows of
+    ``min_words`` where these cut the passage into so many parts that one must
+    be within its own budget; otherwise they are windows of their own.
+    """
+    budget = int(min_words * altered + 1e-9)
+    sizes = [(min_words, budget)]
+    if altered > 0:
+        for k in range(budget + 1, int(longest * altered + 1e-9) + 1):
+            size = math.ceil(k / altered - 1e-9)
+            if (budget + 1) * (size // min_words) <= k:
+                sizes.append((size, k))
+    return sizes
+
+
 class Items:
-    """Windows of ``min_words`` words of each test item, indexed by their pieces.
+    """Windows of words of each test item (see ``window_sizes``), indexed by their pieces.
 
     With at most k altered words in a window of n, one of k + 1 equal pieces is
-    unaltered; all windows' pieces are the item's runs of n // (k + 1) words.
+    unaltered; all windows' pieces are the item's runs of n // (k + 1) words, or
+    of fewer where another window needs shorter ones.
     """
 
     def __init__(self, items: Sequence[tuple[int, str]], min_words: int = MIN_WORDS, altered: float = ALTERED):
-        self.size, self.budget = min_words, int(min_words * altered + 1e-9)
-        self.piece = min_words // (self.budget + 1)
         self.words = {i: w for i, t in items if len(w := plain_words(t)) >= min_words}
+        self.windows = window_sizes(min_words, altered, max(map(len, self.words.values()), default=0))
+        self.piece = min(size // (budget + 1) for size, budget in self.windows)
         self.numbers: dict[str, int] = {}
         self.index: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         self.coded: dict[int, list[int]] = {}
@@ -74,7 +93,7 @@ class Items:
         """Items of which the text holds a window with no more altered words than allowed."""
         coded = [self.numbers.get(w, -1) for w in plain_words(text)]
         found: set[int] = set()
-        failed: set[tuple[int, int, tuple[int, ...]]] = set()
+        failed: set[tuple[int, int, int, tuple[int, ...]]] = set()
         run = 0
         for j, c in enumerate(coded):
             run = run + 1 if c >= 0 else 0
@@ -82,23 +101,23 @@ class Items:
                 continue
             start = j - self.piece + 1
             for item, p in self.index.get(tuple(coded[start : j + 1]), ()):
-                if item not in found and self._verified(item, p, coded, start, failed):
+                if item not in found and any(self._verified(item, p, coded, start, size, budget, failed) for size, budget in self.windows):
                     found.add(item)
         return found
 
-    def _verified(self, item: int, p: int, coded: list[int], start: int, failed: set) -> bool:
+    def _verified(self, item: int, p: int, coded: list[int], start: int, size: int, budget: int, failed: set) -> bool:
         words = self.coded[item]
-        for k in range(self.budget + 1):
+        for k in range(budget + 1):
             a = p - k * self.piece
-            if a < 0 or a + self.size > len(words):
+            if a < 0 or a + size > len(words):
                 continue
-            low = max(0, start - k * self.piece - self.budget)
-            around = tuple(coded[low : start - k * self.piece + self.size + self.budget])
-            if (item, a, around) in failed:
+            low = max(0, start - k * self.piece - budget)
+            around = tuple(coded[low : max(0, start - k * self.piece + size + budget)])
+            if (item, a, size, around) in failed:
                 continue
-            if least_distance(words[a : a + self.size], around) <= self.budget:
+            if least_distance(words[a : a + size], around) <= budget:
                 return True
-            failed.add((item, a, around))
+            failed.add((item, a, size, around))
         return False
 
 
@@ -106,9 +125,8 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
     """``key`` and ``item_key`` of each document that holds a passage of an item.
 
     A passage is at least ``min_words`` successive words of the item with at
-    most the share ``altered`` of them replaced, added or left out; longer
-    passages within that share always hold such a window. Words are compared by
-    their letters and digits. Null and short items and null texts leak nothing;
+    most the share ``altered`` of them replaced, added or left out, whatever its
+    length (see ``window_sizes``). Words are compared by their letters and digits. Null and short items and null texts leak nothing;
     a pair comes once. The items' pieces are broadcast, no more than ``block``
     items at a time (further blocks are further passes); documents are read
     whole where they are, and nothing is shuffled.

@@ -60,6 +60,38 @@ def test_altered_passages_equal_brute_force():
         assert held.leaked(" ".join(doc)) == expected
 
 
+def test_two_altered_words_amid_a_longer_passage():
+    held = Items([(1, " ".join(ITEM))])
+    for size, places in ((20, range(8, 12)), (21, range(9, 12)), (22, range(10, 12))):
+        for i in places:
+            for j in places:
+                if i < j:
+                    doc = ITEM[:size]
+                    doc[i] = doc[j] = "other"
+                    assert held.leaked(" ".join(["before", *doc, "after"])) == {1}
+    short = ITEM[:19]
+    short[8] = short[10] = "other"
+    assert held.leaked(" ".join(["before", *short, "after"])) == set()
+
+
+def test_passages_of_every_length_equal_brute_force():
+    random.seed(5)
+    items = [(i, " ".join(f"v{i}w{n}" for n in range(length))) for i, length in enumerate((19, 20, 24, 33, 40))]
+    held, both = Items(items), 0
+    for _ in range(400):
+        i, text = random.choice(items)
+        doc = text.split()
+        at = random.randrange(len(doc))
+        for k in range(random.randrange(1, 8)):
+            p = min(len(doc) - 1, max(0, at + random.randrange(-9, 10)))
+            doc[p : p + random.choice([0, 1, 1, 1])] = random.choice([["zz"], ["zz"], []])
+        words = text.split()
+        lengths = [n for n in range(12, len(words) + 1) if any(least_distance(words[a : a + n], doc) <= n // 10 for a in range(len(words) - n + 1))]
+        assert held.leaked(" ".join(doc)) == ({i} if lengths else set())
+        both += bool(lengths) and 12 not in lengths
+    assert both
+
+
 def test_rows(spark):
     documents = spark.createDataFrame([(1, " ".join(ITEM)), (2, None), (3, ""), (4, " ".join(ITEM * 300)), (4, " ".join(ITEM * 300)), (None, " ".join(ITEM))], "doc_id long, text string")
     items = spark.createDataFrame([(1, " ".join(ITEM), "x"), (2, None, "x"), (3, " ".join(ITEM[::-1]), "x"), (None, "x", "x")], "item_id long, text string, lang string")
