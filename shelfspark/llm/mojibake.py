@@ -232,15 +232,34 @@ def _plain_hebrew(c: str) -> bool:
     return "א" <= c <= "ת" or c in "‎‏"
 
 
+_BESIDE_LATIN = re.compile("[A-Za-z][א-ת]|[א-ת][A-Za-z]")
+_AMID_LATIN = re.compile("[A-Za-z][א-ת]+[A-Za-z]")
+# How usual the accented letters of French are; they only choose between readings of the same letters.
+_USUAL = {"é": 1.0, "è": 0.5, "à": 0.5, "ê": 0.4, "ç": 0.3, "ù": 0.2, "ô": 0.2, "û": 0.1, "î": 0.1, "â": 0.1}
+
+
 @lru_cache(maxsize=300_000)
 def _suspect(word: str) -> float:
-    """How unnatural a word is; plain Hebrew words don't count, as no stretch of them alone is replaced."""
-    if all(c < "\x80" or _plain_hebrew(c) for c in word):
+    """How unnatural a word is; Hebrew words don't count, as no stretch of them alone is replaced."""
+    if all(c < "\x80" or _plain_hebrew(c) for c in word) and not _BESIDE_LATIN.search(word):
         return 0.0
     score = natural(word)
     return score if score < -0.4 * sum(c >= "\x80" for c in word) else 0.0
 
 
+def _latin_seen_as_hebrew(changed: set[str], pairs: list[tuple[str, str]], held: list[str]) -> bool:
+    """Whether Hebrew letters in these words can only be accented ones of Latin words.
+
+    Where the text has Hebrew words too, Hebrew endings may be put to Latin
+    names: there, two words are asked for, one with Hebrew amid Latin letters.
+    """
+    if any(_kind(y) != "l" for x, y in pairs if "א" <= x <= "ת") or not any(_BESIDE_LATIN.search(w) for w in changed):
+        return False
+    if any(re.search("[א-ת]{2}", w) and not _BESIDE_LATIN.search(w) for w in held):
+        return len(changed) >= 2 and any(_AMID_LATIN.search(w) for w in changed)
+    return True
+
+
 def _apply(text: str, words: list[tuple[int, int]], options: list[tuple[float, int, int, list[str]]]) -> str:
     """Replaces the stretches of words that gain most, none over another."""
     taken: list[tuple[int, int, list[str]]] = []
@@ -330,10 +349,12 @@ def _byte_options(held: list[str], ends: list[bool]) -> list[tuple[float, int, i
             if len(pairs) < LEAST_LETTERS and any(_kind(y) in "hc" for _, y in pairs):
                 continue
             letters = all("֐" < x < "׿" or _kind(x) == "c" for x, _ in pairs)
-            if all(_plain_hebrew(x) for x, _ in pairs):
-                continue  # other scripts seen as Hebrew have signs that Hebrew words lack
+            changed = {held[k] for k in range(a, b + 1) if held[k] != new[k]}
+            latin = all(_plain_hebrew(x) for x, _ in pairs)
+            if latin and not _latin_seen_as_hebrew(changed, pairs, held):
+                continue  # words of Hebrew letters alone are Hebrew
             was = sum(natural(held[k]) for k in range(a, b + 1) if held[k] != new[k])
-            if letters and len({held[k] for k in range(a, b + 1) if held[k] != new[k]}) < (2 if was <= -1.0 * len(pairs) else LEAST_WORDS_AMONG_LETTERS):
+            if letters and not latin and len(changed) < (2 if was <= -1.0 * len(pairs) else LEAST_WORDS_AMONG_LETTERS):
                 continue
             if was <= -1.8 * len(pairs) and s >= 2.2 * len(pairs):
                 least = LEAST_GAIN_FROM_NONSENSE
@@ -343,7 +364,8 @@ def _byte_options(held: list[str], ends: list[bool]) -> list[tuple[float, int, i
             if letters and main and _kind(pairs[0][0]) != _kind(pairs[0][1]) and scripts[main] > 2 * len(pairs):
                 support = min(4.0, 0.25 * len(pairs)) * (1 if _kind(pairs[0][1]) == main else -1)
             if s + support >= max(least, LEAST_GAIN_PER_CHARACTER * len(pairs)) and was - support < -0.1 * len(pairs) and _in_order(new[a : b + 1]):
-                options.append((s + support, a, b, _without_harm(gain, a, b, held, new, ends, 6.0 if letters else 2.0)))
+                usual = sum(_USUAL.get(y, 0.0) for _, y in pairs) if latin else 0.0
+                options.append((s + support + usual, a, b, _without_harm(gain, a, b, held, new, ends, 6.0 if letters else 2.0)))
     return options
 
 

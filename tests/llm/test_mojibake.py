@@ -31,6 +31,22 @@ def test_round_trip(true, wrong):
     assert tried
 
 
+@pytest.mark.parametrize(("true", "wrong"), [("cp1252", "cp1255"), ("mac_roman", "cp862")])
+def test_french_seen_as_hebrew_letters(true, wrong):
+    texts = ["La qualité du café était très décevante, le lait déjà périmé à la livraison.", "le café de qualité, déjà payé, a été jeté très tôt", "Le prix affiché était différent de celui payé à la caisse.", "Très bonne qualité.", "qualité", "Le garçon a reçu sa monnaie, là où le goût était âcre."]
+    for text in texts:
+        bad = garble(text, true, wrong)
+        assert restore(bad) == text
+        assert restore(f"Clean words first.\n{bad}") == f"Clean words first.\n{text}"
+    bad = garble(texts[0], true, wrong)
+    assert restore(f"Clean words first.\n{bad}\nקודם טקסט תקין, ואחריו עוד משפט.") == f"Clean words first.\n{texts[0]}\nקודם טקסט תקין, ואחריו עוד משפט."
+
+
+@pytest.mark.parametrize("text", ["קניתי בFacebook וגם בGoogle", "הודעות בFacebookי ובGoogleי של החנות", "ה-WiFi וה-USB של iPhoneים", "וBanatisi חדש עם Lesizipe", "גרסה Bב ודגם Aא", "50mlל יחידה"])
+def test_hebrew_beside_latin_stays(text):
+    assert restore(text) is None
+
+
 def test_twice_garbled():
     for text in (HE, FR, EN):
         assert restore(garble(garble(text, "utf-8", "cp1252"), "utf-8", "cp1252")) == text
