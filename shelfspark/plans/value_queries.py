@@ -228,6 +228,7 @@ def stream_file_counts(spark, folder):
     data = _events(spark, folder).select(F.col("event_type").alias("file_name"), F.lit(False).alias("is_end"))
     batch = table(spark, folder, "events", F.col("event_type").alias("file_name")).distinct().withColumn("is_end", F.lit(True))
     ends = f"{checkpoint_root(spark)}/ends-{uuid.uuid4().hex}"
-    batch.write.parquet(ends)
+    batch.limit(0).write.parquet(ends)
     marks = spark.readStream.schema(batch.schema).parquet(ends)
-    return streams.run_to_end(streams.file_counts(data.unionByName(marks), "file_name", "is_end"), "file_counts", "append")
+    send = lambda: batch.write.mode("append").parquet(ends)  # noqa: E731  # a file's mark comes after all its rows
+    return streams.run_to_end(streams.file_counts(data.unionByName(marks), "file_name", "is_end"), "file_counts", "append", send)

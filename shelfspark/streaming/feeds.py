@@ -47,40 +47,44 @@ def data_records(records: DataFrame, value: str = "value") -> DataFrame:
 
 
 def file_counts(rows: DataFrame, file: str = "file_name", marker: str = "is_end") -> DataFrame:
-    """One row per file when its end marker comes: the number of data rows before.
+    """One row per file when its end marker comes: the number of its data rows so far.
 
-    Rows after the marker are counted as late and reported by a further row.
-    Each file's state is two numbers.
+    All data rows of the marker's trigger count, wherever the marker stands
+    among them, so a source must not give a marker in an earlier trigger than
+    data that belong before it. Rows of later triggers are counted as late and
+    reported by further rows. Each file's state is two numbers.
     """
     schema = f"{file} string, total_records long, late boolean"
 
     def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen, ended = state.get if state.exists else (0, False)
-        late = 0
-        out = []
+        data, marked = 0, False
         for batch in batches:
             ends = batch[marker].fillna(False).astype(bool)
-            if ended:
-                late += int((~ends).sum())
-                continue
-            seen += int((~ends).sum())
-            if ends.any():
-                ended = True
+            data += int((~ends).sum())
+            marked = marked or bool(ends.any())
+        out = []
+        if not ended:
+            seen += data
+            if marked:
                 out.append((key[0], seen, False))
-        if late:
-            out.append((key[0], late, True))
+        elif data:
+            out.append((key[0], data, True))
+        ended = ended or marked
         state.update((seen, ended))
         yield pd.DataFrame(out, columns=[file, "total_records", "late"])
 
     return rows.groupBy(file).applyInPandasWithState(count, schema, "seen long, ended boolean", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_to_end(stream: DataFrame, name: str, mode: str = "append", then: Callable[[], None] | None = None) -> DataFrame:
     """Runs a stream over all that is there now and returns its result as a table.
 
     Results are written by the executors into the shared folder, one folder per
     batch, which a repeated batch overwrites; in complete mode the last batch
-    holds the whole result. Nothing is kept in the driver's memory.
+    holds the whole result. Nothing is kept in the driver's memory. ``then`` is
+    called at the present end; what it adds to the sources is read afterwards,
+    the stream going on with its state.
     """
     spark = stream.sparkSession
     base = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -90,7 +94,13 @@ def run_to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
         df.write.mode("overwrite").parquet(f"{base}/batch={number}")
         kept.append(number)
 
-    stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    def run() -> None:
+        stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    if then:
+        then()
+        run()
     used = kept[-1:] if mode == "complete" else sorted(set(kept))
     return spark.read.schema(stream.schema).parquet(*[f"{base}/batch={n}" for n in used]) if used else spark.createDataFrame([], stream.schema)
 

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+from __spark_entry__ import queries
 from shelfspark.streaming import feeds as S
 
 START = datetime(2025, 1, 1)
@@ -31,6 +32,20 @@ def test_file_counts_and_late_rows(spark, tmp_path):
     assert sorted(tuple(r) for r in out.collect()) == [("f", 1, True), ("f", 3, False)]
 
 
+def test_marker_amid_many_rows_of_its_trigger(spark, tmp_path):
+    many = [("f", True)] + [("f", False)] * 25_000
+    rows = stream(spark, tmp_path, [[("f", False)], many, [("f", False), ("f", True)]], "file_name string, is_end boolean")
+    out = S.run_to_end(S.file_counts(rows), "counts")
+    assert sorted(tuple(r) for r in out.collect()) == [("f", 1, True), ("f", 25_001, False)]
+
+
+def test_file_counts_of_a_table_of_many_files(spark, tmp_path):
+    rows = [(i, START + timedelta(minutes=i), i % 7, "ab"[i % 2]) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").repartition(40).write.parquet(f"{tmp_path}/events.parquet")
+    out = queries()["stream_file_counts"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 200, False), ("b", 200, False)]
+
+
 def test_touched_keys(spark, tmp_path):
     rows = stream(spark, tmp_path, [[(1, "x"), (1, "y")], [(2, "x")]], "k int, v string")
     seen = []
