@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 TRUE_WORDS = ("1", "true", "t", "yes", "y")
 FALSE_WORDS = ("0", "false", "f", "no", "n")
 NOTHING = ("", "nan", "none", "null")
-DATE_PATTERNS = (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"), (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"), (r"^\d{8}$", "yyyyMMdd"), (r"^\d{2}-\d{2}-\d{4}$", "dd-MM-yyyy"), (r"^\d{2}\.\d{2}\.\d{4}$", "dd.MM.yyyy")
-TIME_PATTERNS = (
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
-    (r"^\d{14}$", "yyyyMMddHHmmss"),
-    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "dd/MM/yyyy HH:mm:ss"),
+DATE_PATTERNS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
 )
+CLOCK_PATTERNS = ((r" \d{1,2}:\d{1,2}$", " H:m"), (r" \d{1,2}:\d{1,2}:\d{1,2}$", " H:m:s"))
+DIGIT_PATTERNS = ((r"^\d{14}$", "yyyyMMddHHmmss"), (r"^\d{8} \d{6}$", "yyyyMMdd HHmmss"), (r"^\d{8} \d{4}$", "yyyyMMdd HHmm"))
+TIME_PATTERNS = tuple((day[:-1] + clock, pattern + times) for day, pattern in DATE_PATTERNS for clock, times in CLOCK_PATTERNS if pattern != "yyyyMMdd") + DIGIT_PATTERNS
+ISO_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
 
 
 def _c(column: str | Column) -> Column:
@@ -64,17 +69,39 @@ def parse_bool(column: str | Column, default: bool | None = None) -> Column:
     return F.when(text.isin(*TRUE_WORDS), True).when(text.isin(*FALSE_WORDS), False).otherwise(F.lit(default).cast("boolean"))
 
 
-def parse_date(column: str | Column) -> Column:
-    """The first pattern that fits and names a real day; null otherwise."""
-    text = trimmed(column)
+def _day(text: Column) -> Column:
     return F.coalesce(*[F.when(text.rlike(regex), F.try_to_timestamp(text, F.lit(pattern)).cast("date")) for regex, pattern in DATE_PATTERNS])
 
 
+def _moment(text: Column) -> Column:
+    """A timestamp by the first pattern of day and time that fits, then ISO with a fraction or zone."""
+    times = [F.when(text.rlike(regex), F.try_to_timestamp(text, F.lit(pattern))) for regex, pattern in TIME_PATTERNS]
+    iso = F.replace(text, F.lit(","), F.lit("."))
+    iso = F.regexp_replace(F.regexp_replace(iso, r"(:\d{2}(?:\.\d+)?|\d)([+-]\d{2}):?(\d{2})$", "$1$2:$3"), r"( \d{2}(?::\d{2})*(?:\.\d+)?)([+-]\d{2})$", "$1$2:00")
+    iso = F.regexp_replace(F.regexp_replace(iso, r"^(\S+ \d{2})(?=$|[Z+-])", "$1:00"), r"^(\S+ \d{2}:\d{2})(?=$|[Z+-])", "$1:00")
+    iso = F.regexp_replace(iso, r"(\.\d{6})\d+", "$1")
+    return F.coalesce(*times, F.when(text.rlike(ISO_TIME), iso.try_cast("timestamp")))
+
+
+def _plain_time(column: str | Column) -> Column:
+    """Trimmed, with one space between day and time."""
+    return F.regexp_replace(F.regexp_replace(trimmed(column), r"(?<=\d)T(?=\d)", " "), r"\s+", " ")
+
+
+def parse_date(column: str | Column) -> Column:
+    """The first pattern that fits and names a real day, a time after it being dropped; null otherwise.
+
+    Of a time with a zone, it is the day as written.
+    """
+    text = _plain_time(column)
+    written = F.when(text.rlike(ISO_TIME) & _moment(text).isNotNull(), _day(F.substring(text, 1, 10)))
+    return F.coalesce(_day(text), written, _moment(text).cast("date"))
+
+
 def parse_time(column: str | Column) -> Column:
     """A timestamp by the first pattern that fits, else a date's midnight; null otherwise."""
-    text = trimmed(column)
-    times = [F.when(text.rlike(regex), F.try_to_timestamp(text, F.lit(pattern))) for regex, pattern in TIME_PATTERNS]
-    return F.coalesce(*times, parse_date(column).cast("timestamp"))
+    text = _plain_time(column)
+    return F.coalesce(_moment(text), _day(text).cast("timestamp"))
 
 
 def first_filled(*columns: str | Column) -> Column:

@@ -32,6 +32,26 @@ def test_flags_dates_times(spark):
     assert values(spark, ["2025-02-28 10:20:30", "20250228102030", "2025-02-28T10:20:30", "28/02/2025", ""], clean.parse_time) == [datetime(2025, 2, 28, 10, 20, 30)] * 3 + [datetime(2025, 2, 28), None]
 
 
+def test_all_forms_of_dates(spark):
+    day, at, minute = date(2025, 2, 8), datetime(2025, 2, 8, 9, 20, 30), datetime(2025, 2, 8, 9, 20)
+    days = ["2025-02-08", "2025/02/08", "08/02/2025", "08-02-2025", "2025-2-8", "8/2/2025", "08.02.2025", "20250208"]
+    assert values(spark, days, clean.parse_date) == [day] * len(days)
+    assert values(spark, days, clean.parse_time) == [datetime(2025, 2, 8)] * len(days)
+    minutes = ["2025-02-08 09:20", "2025/02/08 09:20", "08/02/2025 09:20", "08-02-2025 09:20", "2025-02-08T09:20", "8/2/2025 9:20", "20250208T0920"]
+    assert values(spark, minutes, clean.parse_time) == [minute] * len(minutes)
+    seconds = ["2025-02-08 09:20:30", "2025/02/08 09:20:30", "08/02/2025  09:20:30", "08-02-2025 09:20:30", "2025/02/08T09:20:30", "20250208092030", "20250208T092030", "2025-02-08T09:20:30.000"]
+    assert values(spark, seconds, clean.parse_time) == [at] * len(seconds)
+    assert values(spark, [*minutes, *seconds], clean.parse_date) == [day] * (len(minutes) + len(seconds))
+    fractions = ["2025-02-08T09:20:30.25", "2025-02-08 09:20:30,250", "2025-02-08 09:20:30.250000999"]
+    assert values(spark, fractions, clean.parse_time) == [at.replace(microsecond=250_000)] * 3
+    zoned = ["2025-02-08T23:30:00+02:00", "2025-02-08T23:30:00.000+0200", "2025-02-08 23:30+02", "2025-02-08T21:30:00Z", "2025-02-08T21:30Z", "2025-02-08T21Z"]
+    assert values(spark, zoned, clean.parse_date) == [day] * 6
+    assert values(spark, zoned, lambda c: F.unix_seconds(clean.parse_time(c)), "string") == [1739050200] * 5 + [1739048400]
+    assert values(spark, ["2025-02-08T00:30:00+02:00", "2025-02-08T23:30:00-05:00"], clean.parse_date) == [day] * 2
+    wrong = ["2025-02-30 10:00", "2025/13/01", "31/04/2025 10:00:00", "2025-02-08 25:00", "2025-02-08T09:61:00Z", "2025-02-30T10:00:00Z", "T", "nan", "", None]
+    assert values(spark, wrong, clean.parse_date) == [None] * len(wrong) and values(spark, wrong, clean.parse_time) == [None] * len(wrong)
+
+
 def test_names(spark):
     assert values(spark, ["PriceFullFile", "storeXMLFeed", None], clean.upper_snake) == ["PRICE_FULL_FILE", "STORE_XML_FEED", None]
     assert values(spark, ["a.xml.gz", "b.aspx", "c.gz.xml", None], clean.without_endings) == ["a", "b", "c.gz", None]
