@@ -11,8 +11,10 @@ list above it, and two leaves belong together where those places agree.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator, Sequence
 from itertools import islice
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,50 +23,124 @@ from pyspark.sql import functions as F
 REPEATED = None  # the step of a path into the elements of a list
 Path = tuple  # of key names and REPEATED
 Column_ = list[tuple[int, int, str | None]]
-MAX_DEPTH = 400
+_ABSENT = object()  # stands where a step of a path is not there
 ROWS_PER_FRAME = 20_000
 
 
 def parse_json(text: str | None) -> object:
-    """The value of a JSON text, with JSON inside its strings parsed too; None if it is no JSON.
+    """The value of a JSON text, with JSON inside its strings parsed too, nested to any depth; None if it is no JSON.
 
     Numbers stay as written. A byte-order mark and white space around the text
-    don't matter. Values nested deeper than ``MAX_DEPTH`` are cut off there.
+    don't matter.
     """
+    top = [_parsed(text)]
+    stack: list[tuple[dict | list, object]] = [(top, 0)]
+    while stack:
+        holder, at = stack.pop()
+        value = holder[at]
+        if isinstance(value, str):
+            if value.strip().lstrip("\ufeff").lstrip()[:1] in ("{", "[", '"') and (held := _parsed(value)) is not None:
+                holder[at] = held
+                stack.append((holder, at))
+        elif isinstance(value, (dict, list)):
+            stack += [(value, k) for k, v in (value.items() if isinstance(value, dict) else enumerate(value)) if isinstance(v, (str, dict, list))]
+    return top[0]
+
+
+def _parsed(text: str | None) -> object:
     if text is None:
         return None
+    text = text.strip().lstrip("\ufeff").strip()
+    try:
+        return json.loads(text, parse_int=str, parse_float=str, parse_constant=str)
+    except RecursionError:
+        pass
+    except ValueError:
+        return None
     try:
-        value = json.loads(text.strip().lstrip("\ufeff").strip(), parse_int=str, parse_float=str, parse_constant=str)
-    except (ValueError, RecursionError):
+        return _parsed_deep(text)
+    except ValueError:
         return None
-    return _inside(value, 0)
 
 
-def _inside(value: object, depth: int) -> object:
-    if depth > MAX_DEPTH:
-        return None
-    if isinstance(value, dict):
-        return {k: _inside(v, depth + 1) for k, v in value.items()}
-    if isinstance(value, list):
-        return [_inside(v, depth + 1) for v in value]
-    if isinstance(value, str) and value.strip().lstrip("\ufeff").lstrip()[:1] in ("{", "[", '"'):
-        held = parse_json(value)
-        return value if held is None else held
-    return value
+_SPACE = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null|NaN|-?Infinity")
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def _parsed_deep(text: str) -> object:
+    """As ``json.loads``, with a stack of its own."""
+
+    def skip(i: int) -> int:
+        return _SPACE.match(text, i).end()
+
+    def key_at(i: int) -> tuple[str, int]:
+        if text[i : i + 1] != '"':
+            raise ValueError("no key")
+        key, i = scanstring(text, i + 1, True)
+        i = skip(i)
+        if text[i : i + 1] != ":":
+            raise ValueError("no colon")
+        return key, skip(i + 1)
+
+    open_: list[tuple[dict | list, str | None]] = []
+    i = skip(0)
+    while True:
+        c = text[i : i + 1]
+        if c in ("{", "["):
+            i = skip(i + 1)
+            value = {} if c == "{" else []
+            if text[i : i + 1] != ("}" if c == "{" else "]"):
+                key, i = key_at(i) if c == "{" else (None, i)
+                open_.append((value, key))
+                continue
+            i += 1
+        elif c == '"':
+            value, i = scanstring(text, i + 1, True)
+        elif m := _SCALAR.match(text, i):
+            value, i = _WORDS.get(m[0], m[0]), m.end()
+        else:
+            raise ValueError("no value")
+        while True:
+            i = skip(i)
+            if not open_:
+                if i != len(text):
+                    raise ValueError("more than one value")
+                return value
+            holder, key = open_[-1]
+            if isinstance(holder, list):
+                holder.append(value)
+            else:
+                holder[key] = value
+            c = text[i : i + 1]
+            if c == ",":
+                i = skip(i + 1)
+                if isinstance(holder, dict):
+                    key, i = key_at(i)
+                    open_[-1] = (holder, key)
+                break
+            if c != ("]" if isinstance(holder, list) else "}"):
+                raise ValueError("not closed")
+            value, _ = open_.pop()
+            i += 1
 
 
 def leaf_paths(value: object, wanted: Callable[[str], bool]) -> list[Path]:
     """Paths that lead to a scalar under a wanted key, in the order of their first value."""
     found: dict[Path, None] = {}
-    stack: list[tuple[object, Path]] = [(value, ())]
+    stack: list[tuple[object, tuple | None]] = [(value, None)]  # with (path above, step): long paths are made for leaves alone
     while stack:
         at, path = stack.pop()
         if isinstance(at, dict):
-            stack += [(v, (*path, k)) for k, v in reversed(at.items())]
+            stack += [(v, (path, k)) for k, v in reversed(at.items())]
         elif isinstance(at, list):
-            stack += [(v, (*path, REPEATED)) for v in reversed(at)]
-        elif path and path[-1] is not REPEATED and at is not None and wanted(path[-1]):
-            found[path] = None
+            stack += [(v, (path, REPEATED)) for v in reversed(at)]
+        elif path and path[1] is not REPEATED and at is not None and wanted(path[1]):
+            steps = []
+            while path:
+                path, step = path
+                steps.append(step)
+            found[tuple(reversed(steps))] = None
     return list(found)
 
 
@@ -78,30 +154,19 @@ def shred(value: object, paths: Sequence[Path]) -> dict[Path, Column_]:
         node[...] = path
     columns: dict[Path, Column_] = {p: [] for p in paths}
 
-    def absent(node: dict, r: int, d: int) -> None:
-        for step, below in node.items():
-            if step is ...:
-                columns[below].append((r, d, None))
-            else:
-                absent(below, r, d)
-
-    def write(at: object, node: dict, r: int, d: int, repeats: int) -> None:
+    stack: list[tuple[object, dict, int, int, int]] = [(value, tree, 0, 0, 0)]
+    while stack:
+        at, node, r, d, repeats = stack.pop()
         for step, below in node.items():
             if step is ...:
                 scalar = at is not None and not isinstance(at, (dict, list))
-                columns[below].append((r, d if scalar else d - 1, _text(at) if scalar else None))
-            elif step is REPEATED:
-                if isinstance(at, list) and at:
-                    for i, element in enumerate(at):
-                        write(element, below, repeats + 1 if i else r, d + 1, repeats + 1)
-                else:
-                    absent(below, r, d)
-            elif isinstance(at, dict) and step in at:
-                write(at[step], below, r, d + 1, repeats)
+                columns[below].append((r, d, None) if at is _ABSENT else (r, d if scalar else d - 1, _text(at) if scalar else None))
+            elif step is REPEATED and isinstance(at, list) and at:
+                stack += [(at[i], below, repeats + 1 if i else r, d + 1, repeats + 1) for i in range(len(at) - 1, -1, -1)]
+            elif step is not REPEATED and isinstance(at, dict) and step in at:
+                stack.append((at[step], below, r, d + 1, repeats))
             else:
-                absent(below, r, d)
-
-    write(value, tree, 0, 0, 0)
+                stack.append((_ABSENT, below, r, d, repeats))
     return columns
 
 
@@ -145,9 +210,11 @@ def nested_rows(value: object, code_key: str = "itemcode", group_key: str = "gro
             owner.setdefault(i, v)
     codes, groups = tables
 
+    lengths = {id(t): sorted({len(o) for o in t}, reverse=True) for t in tables}
+
     def nearest(table: dict, owner: Path, at: tuple[int, ...], strict: bool) -> str:
-        for n in range(len(owner) - strict, -1, -1):
-            if (rows := table.get(owner[:n])) and (hit := rows.get(at[: sum(s is REPEATED for s in owner[:n])])):
+        for n in lengths[id(table)]:
+            if n <= len(owner) - strict and (rows := table.get(owner[:n])) and (hit := rows.get(at[: sum(s is REPEATED for s in owner[:n])])):
                 return hit
         return ""
 

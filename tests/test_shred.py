@@ -1,10 +1,11 @@
 import json
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfspark.operators.shred import REPEATED, child_rows, leaf_paths, nested_rows, parse_json, places, shred
+from shelfspark.operators.shred import REPEATED, _parsed_deep, child_rows, leaf_paths, nested_rows, parse_json, places, shred
 
 SCALARS = st.one_of(st.integers(0, 99).map(str), st.none(), st.text("ab ", max_size=3))
 KEYS = st.sampled_from(["ItemCode", "item_code", "GroupId", "groupid", "items", "Group", "x"])
@@ -74,3 +75,25 @@ def test_long_lists(spark):
     random.seed(1)
     value = [{"groupid": str(i), "items": [{"itemcode": f"{i}-{j}"} for j in range(random.randrange(5))]} for i in range(3000)]
     assert sorted(nested_rows(value)) == sorted(brute(value))
+
+
+def test_nested_at_any_depth():
+    for levels in (150, 300, 1_000):
+        text = "".join(f'{{"itemcode": {i}, "items": [' for i in range(levels)) + "]}" * levels
+        expected = sorted(("", str(i - 1) if i else "", str(i)) for i in range(levels))
+        assert sorted(nested_rows(parse_json(text))) == expected
+    text = "[" * 20_000 + '{"itemcode": "x"}' + "]" * 20_000
+    assert nested_rows(parse_json(text)) == [("", "", "x")]
+    assert parse_json("[" * 20_000) is None
+
+
+def test_deep_parser_equals_json():
+    texts = ['{"a": [1, -2.50e3, true, false, null, NaN, -Infinity], "b": {}, "c": [], "é\\u00e9": "x\\n"}', " [ ] ", '"s"', "1", '{"a": 1, "a": 2}', "[1,]", '{"a": 1,}', "[1 2]", '{"a" 1}', "{1: 2}", "", "[", '["x]', "[1]]", "01", "tru"]
+    for text in texts:
+        try:
+            expected = json.loads(text, parse_int=str, parse_float=str, parse_constant=str)
+        except ValueError:
+            with pytest.raises(ValueError):
+                _parsed_deep(text)
+        else:
+            assert _parsed_deep(text) == expected
