@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..checkpoints import materialise
 from ..sources.tables import table
 from .canonical import map_to_reference
-from .linkage import same_item_pairs, same_items
+from .linkage import item_groups, same_item_pairs, same_items
 from .leakage import leaked_items
 from .mixing import actual_shares, chosen_repeats, distinct_texts, source_rates
 from .mojibake import garbled_documents
@@ -19,6 +19,12 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_item_pairs(materialise(same_items(table(spark, folder, "products")), "items"))
 
 
+def p1_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Each listing with the smallest id of its product, and that product's number of listings and links."""
+    items = materialise(same_items(table(spark, folder, "products")), "items")
+    return items.join(item_groups(items), "item").select("id", F.col("representative").alias("item_id"), "listings", "links")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     top_group = ["window_hours", "scope_type", "city", "chain_id", "store_id"]
     top = table(spark, folder, "top_promotions_cache", *top_group, "item_code", "smart_score", "promotion_id")
@@ -65,7 +71,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_documents(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p4_found, p8_found, p9_mixture, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_items, p3_found, p4_found, p8_found, p9_mixture, p9_shares, p10_found)}
 
 SQL = {
     "p4_found": """
