@@ -29,7 +29,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], keep: S
 
 def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Current rows, and incoming rows of keys that are new; of repeated new keys one row."""
-    new = incoming.join(current.select(*keys).distinct(), list(keys), "left_anti").dropDuplicates(list(keys))
+    new = incoming.dropDuplicates(list(keys)).join(current.select(*keys).distinct(), list(keys), "left_anti")
     return current.unionByName(new, allowMissingColumns=True)
 
 

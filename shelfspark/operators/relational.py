@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import running
+
 
 def optional_filters(df: DataFrame, equal: Mapping[str, object | None] | None = None, prefix: Mapping[str, str | None] | None = None) -> DataFrame:
     """Rows that meet the conditions whose value is given; null and '' set no condition.
@@ -62,24 +64,26 @@ def page(df: DataFrame, order: Sequence[Column], offset: int | None, limit: int
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], order: Sequence[str], within: Sequence[str]) -> DataFrame:
-    """Nulls replaced by the last value before them, in ``order``, within the same ``within`` values."""
-    w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    """Nulls replaced by the last value before them, in ``order``, within the same ``within`` values.
+
+    A group of any size is filled by as many tasks as it has range partitions
+    (see ``ranking.running``). Null is a group of its own.
+    """
+    return running(df, within, [F.col(c) for c in order], dict.fromkeys(columns, "last"))
 
 
 def next_after(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, found: str, as_name: str) -> DataFrame:
-    """Each left row with the least ``found`` of the right that is not before ``at``; null if there is none.
+    """Each left row with the least ``found`` of the right that is not before ``at``; null if there is none, or for a null ``at``.
 
-    Both sides are sorted together once per key and read backwards, so no row
-    is compared with more than its neighbour.
+    Both sides are sorted together from the latest time on, so the last right
+    time passed is the next one: one scan, in as many tasks as a key has range
+    partitions.
     """
-    lefts = left.withColumns({"side_": F.lit(0), "time_": F.col(at)})
-    rights = right.select(*keys, F.col(found).alias("time_")).filter(F.col("time_").isNotNull()).distinct()
-    rights = rights.withColumn("side_", F.lit(1))
-    w = Window.partitionBy(*keys).orderBy("time_", "side_").rowsBetween(0, Window.unboundedFollowing)
+    lefts = left.withColumns({"side_": F.lit(0), "time_": F.col(at), as_name: F.lit(None).cast(right.schema[found].dataType)})
+    rights = right.select(*keys, F.col(found).alias("time_")).filter(F.col("time_").isNotNull()).distinct().withColumns({"side_": F.lit(1), as_name: F.col("time_")})
     both = lefts.unionByName(rights, allowMissingColumns=True)
-    hit = F.first(F.when(F.col("side_") == 1, F.col("time_")), ignorenulls=True).over(w)
-    return both.withColumn(as_name, hit).filter(F.col("side_") == 0).drop("side_", "time_")
+    scanned = running(both, keys, [F.desc_nulls_first("time_"), F.desc("side_")], {as_name: "last"})
+    return scanned.filter(F.col("side_") == 0).drop("side_", "time_")
 
 
 def match_exclusive(left: DataFrame, right: DataFrame, key: str, at: str, found: str) -> DataFrame:
@@ -87,25 +91,39 @@ def match_exclusive(left: DataFrame, right: DataFrame, key: str, at: str, found:
 
     Matching in the order of time is first in, first out: a right time is used
     unless no left time waits, and the n-th used one goes to the n-th left time.
-    Running counts per key tell both, so the match is a join on their numbers.
-    Unmatched left times have a null ``found``; null times are left out.
+    A right time is not used where the count of lefts less rights falls to a new
+    least below zero. Running counts, in as many tasks as a key has range
+    partitions, tell both, so the match is a join on their numbers. Unmatched
+    left times have a null ``found``; null times are left out.
     """
     lefts = left.select(F.col(key).alias("key_"), F.col(at).alias("time_"), F.lit(1).alias("step_"))
     rights = right.select(F.col(key).alias("key_"), F.col(found).alias("time_"), F.lit(-1).alias("step_"))
-    w = Window.partitionBy("key_").orderBy("time_", F.desc("step_")).rowsBetween(Window.unboundedPreceding, 0)
-    walked = lefts.unionByName(rights).filter(F.col("time_").isNotNull()).withColumn("waiting_", F.sum("step_").over(w))
-    lowest = F.least(F.min("waiting_").over(w), F.lit(0))
-    walked = walked.withColumns({"lefts_": F.count_if(F.col("step_") == 1).over(w), "rights_": F.count_if(F.col("step_") == -1).over(w), "wasted_": -lowest})
-    taken = walked.filter((F.col("step_") == -1) & (F.col("waiting_") >= -F.col("wasted_"))).select("key_", (F.col("rights_") - F.col("wasted_")).alias("number_"), F.col("time_").alias(found))
-    used = taken.groupBy("key_", "number_").agg(F.min(found).alias(found))
+    both = lefts.unionByName(rights).filter(F.col("time_").isNotNull())
+    counted = both.withColumns({"waiting_": F.col("step_").cast("bigint"), "lefts_": (F.col("step_") == 1).cast("bigint"), "rights_": (F.col("step_") == -1).cast("bigint")})
+    order = [F.asc("time_"), F.desc("step_")]
+    walked = running(counted, ["key_"], order, dict.fromkeys(("waiting_", "lefts_", "rights_"), "sum"))
+    # Equal rows are told apart by their counts, so that both scans see one order.
+    walked = running(walked.withColumn("least_", F.col("waiting_")), ["key_"], [*order, F.asc("lefts_"), F.asc("rights_")], {"least_": "min"})
+    wasted = -F.least("least_", F.lit(0))
+    used = walked.filter(F.col("step_") == -1).select("key_", (F.col("rights_") - wasted).alias("number_"), F.col("time_").alias(found)).filter("number_ > 0")
+    used = used.groupBy("key_", "number_").agg(F.min(found).alias(found))  # a wasted one repeats the number before it
     asked = walked.filter(F.col("step_") == 1).select("key_", F.col("lefts_").alias("number_"), F.col("time_").alias(at))
     return asked.join(used, asked["key_"].eqNullSafe(used["key_"]) & (asked["number_"] == used["number_"]), "left").select(asked["key_"].alias(key), at, found)
 
 
-def nearest_rank(values: Column, percent: float) -> Column:
-    """The value at round(percent / 100 * (n - 1)) of the sorted values."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.try_element_at(ordered, (F.floor(F.size(ordered).cast("double").__sub__(1) * percent / 100 + 0.5) + 1).cast("int"))
+def nearest_ranks(df: DataFrame, group: Sequence[str], value: str, percents: Mapping[str, float]) -> DataFrame:
+    """Per group its size, its greatest value, and the value at round(percent / 100 * (n - 1)) of its sorted values, for each name.
+
+    Equal values are counted first; the counts are summed up in order by as many
+    tasks as a group has range partitions. Null values are left out.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("upto_"))
+    upto = running(counts, group, [F.col(value)], {"upto_": "sum"})
+    totals = counts.groupBy(*[F.col(g).alias(f"{g}_of") for g in group]).agg(F.sum("upto_").alias("size_"), F.max(value).alias("greatest"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"{g}_of")) for g in group])
+    wanted = lambda p: F.floor((F.col("size_") - 1) * float(p) / 100 + 0.5) + 1
+    at = [F.min(F.when(F.col("upto_") >= wanted(p), F.col(value))).alias(name) for name, p in percents.items()]
+    return upto.join(totals, same).groupBy(*group).agg(*at, F.first("size_").alias("group_size"), F.first("greatest").alias("greatest"))
 
 
 def first_filled_in_order(column: str, order: str) -> Column:

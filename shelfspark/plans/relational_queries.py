@@ -113,7 +113,7 @@ def join_array_stores(spark, folder):
 
 @query("SELECT id, item_code FROM products q WHERE NOT EXISTS (SELECT 1 FROM product_prices p WHERE p.product_id = q.id AND p.price IS NOT NULL)")
 def join_anti_unpriced(spark, folder):
-    priced = table(spark, folder, "product_prices", "product_id", "price").filter("price IS NOT NULL").select(F.col("product_id").alias("id"))
+    priced = table(spark, folder, "product_prices", "product_id", "price").filter("price IS NOT NULL").select(F.col("product_id").alias("id")).distinct()
     return table(spark, folder, "products", "id", "item_code").join(priced, "id", "left_anti")
 
 
@@ -231,11 +231,7 @@ def agg_pivot(spark, folder):
     SELECT event_type, max(value) FILTER (n = floor((total - 1) * 50 / 100.0::DOUBLE + 0.5) + 1) AS p50, max(value) FILTER (n = floor((total - 1) * 95 / 100.0::DOUBLE + 0.5) + 1) AS p95, max(value) AS greatest FROM ranked GROUP BY event_type""")
 def agg_nearest_rank(spark, folder):
     rows = table(spark, folder, "events", "event_type", "value").filter("value IS NOT NULL")
-    counts = rows.groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("event_type")
-    placed = counts.withColumns({"upto": F.sum("n").over(w.orderBy("value")), "total": F.sum("n").over(w)})
-    at = lambda p: F.min(F.when(F.col("upto") >= F.floor((F.col("total") - 1) * p / F.lit(100.0) + 0.5) + 1, F.col("value")))
-    return placed.groupBy("event_type").agg(at(50).alias("p50"), at(95).alias("p95"), F.max("value").alias("greatest"))
+    return relational.nearest_ranks(rows, ["event_type"], "value", {"p50": 50, "p95": 95}).select("event_type", "p50", "p95", "greatest")
 
 
 @query("""SELECT item_code, count(*) AS listed, arg_min(item_name, id) FILTER (trim(item_name) <> '') AS first_name, arg_min(manufacturer_name, id) FILTER (trim(manufacturer_name) <> '') AS first_maker,
@@ -313,9 +309,10 @@ def win_bool_or(spark, folder):
 def win_dual_rank(spark, folder):
     rows = table(spark, folder, "store_promotions_cache", "store_db_id", "item_code", "discount_percent", "discount_amount")
     best = rows.groupBy("store_db_id", "item_code").agg(F.max("discount_percent").alias("pct"), F.max("discount_amount").alias("amt"))
-    w = Window.partitionBy("store_db_id")
-    place = lambda c: F.row_number().over(w.orderBy(F.desc(c), "item_code")).cast("bigint")
-    return best.select("store_db_id", "item_code", place("pct").alias("by_percent"), place("amt").alias("by_amount")).filter("by_percent <= 5 OR by_amount <= 5")
+    placed = best
+    for column, name in (("pct", "by_percent"), ("amt", "by_amount")):
+        placed = ranking.rank_all(placed, ["store_db_id"], [F.desc(column), F.col("item_code")], name)
+    return placed.filter("by_percent <= 5 OR by_amount <= 5").select("store_db_id", "item_code", "by_percent", "by_amount")
 
 
 @query("""SELECT store_id, item_code, row_number() OVER (PARTITION BY store_id ORDER BY image DESC, score DESC, item_code) AS new_rank FROM
@@ -326,12 +323,12 @@ def win_rerank_flag(spark, folder):
     return ranking.rank_all(best, ["store_id"], [F.desc("image"), F.desc("score"), F.col("item_code")], "new_rank").select("store_id", "item_code", "new_rank")
 
 
-@query("""SELECT product_id, store_id, epoch_us(updated_at) AS at_us, CAST(last_value(price IGNORE NULLS) OVER (PARTITION BY product_id, store_id ORDER BY updated_at ROWS UNBOUNDED PRECEDING) * 10000 AS BIGINT) AS filled_e4
+@query("""SELECT product_id, store_id, epoch_us(updated_at) AS at_us, CAST(last_value(price IGNORE NULLS) OVER (PARTITION BY product_id, store_id ORDER BY updated_at, price NULLS FIRST ROWS UNBOUNDED PRECEDING) * 10000 AS BIGINT) AS filled_e4
     FROM (SELECT DISTINCT product_id, store_id, updated_at, price FROM product_prices)""")
 def win_forward_fill(spark, folder):
     rows = table(spark, folder, "product_prices", "product_id", "store_id", "updated_at", "price").distinct()
-    filled = relational.forward_fill(rows, ["price"], ["updated_at"], ["product_id", "store_id"])
-    return filled.select("product_id", "store_id", F.unix_micros("updated_at").alias("at_us"), (F.col("price") * 10000).cast("bigint").alias("filled_e4"))
+    filled = relational.forward_fill(rows.withColumn("filled", F.col("price")), ["filled"], ["updated_at", "price"], ["product_id", "store_id"])
+    return filled.select("product_id", "store_id", F.unix_micros("updated_at").alias("at_us"), (F.col("filled") * 10000).cast("bigint").alias("filled_e4"))
 
 
 @query("SELECT id, item_code, item_name FROM products ORDER BY item_name NULLS LAST, id OFFSET 40 LIMIT 20")
@@ -344,11 +341,13 @@ def first_wins(spark, folder):
     return table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at").groupBy("chain_id", "promotion_id").agg(F.unix_micros(F.min("updated_at")).alias("at_us"))
 
 
-@query("SELECT chain_id, promotion_id, epoch_us(max(updated_at)) AS at_us, arg_max(promotion_description, updated_at) AS last_description FROM promotions GROUP BY ALL HAVING count(*) = count(DISTINCT updated_at)")
+@query("""SELECT chain_id, promotion_id, epoch_us(updated_at) AS at_us, promotion_description AS last_description FROM promotions
+    QUALIFY row_number() OVER (PARTITION BY chain_id, promotion_id ORDER BY updated_at DESC NULLS LAST, promotion_description DESC NULLS LAST) = 1""")
 def last_wins(spark, folder):
+    """The last version of each promotion; of versions at one time the one with the greatest description."""
     rows = table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at", "promotion_description")
-    grouped = rows.groupBy("chain_id", "promotion_id").agg(F.max("updated_at").alias("last_at"), F.max_by("promotion_description", F.when(F.col("promotion_description").isNotNull(), F.col("updated_at"))).alias("last_description"), F.count(F.lit(1)).alias("n"), F.countDistinct("updated_at").alias("d"))
-    return grouped.filter("n = d").select("chain_id", "promotion_id", F.unix_micros("last_at").alias("at_us"), "last_description")
+    last = relational.best_per_key(rows, ["chain_id", "promotion_id"], [F.desc_nulls_last("updated_at"), F.desc_nulls_last("promotion_description")])
+    return last.select("chain_id", "promotion_id", F.unix_micros("updated_at").alias("at_us"), F.col("promotion_description").alias("last_description"))
 
 
 @query("""SELECT 'price' AS kind, store_id AS place, count(*) AS row_count FROM product_prices GROUP BY store_id UNION ALL SELECT 'cache', store_db_id, count(*) FROM store_promotions_cache GROUP BY store_db_id""")
@@ -360,7 +359,7 @@ def union_scopes(spark, folder):
 
 @query("SELECT DISTINCT product_id FROM observations EXCEPT SELECT product_id FROM product_prices")
 def set_difference(spark, folder):
-    return table(spark, folder, "observations", "product_id").distinct().join(table(spark, folder, "product_prices", "product_id"), "product_id", "left_anti")
+    return table(spark, folder, "observations", "product_id").distinct().join(table(spark, folder, "product_prices", "product_id").distinct(), "product_id", "left_anti")
 
 
 @query("""SELECT chain_id, promotion_id, string_agg(s, ',' ORDER BY s) AS stores FROM (SELECT DISTINCT chain_id, promotion_id, trim(unnest(available_in_store_ids)) AS s FROM promotions) WHERE s <> '' GROUP BY ALL""")
@@ -386,7 +385,7 @@ def upsert_merge(spark, folder):
 @query("""SELECT id, 1 AS origin FROM stores WHERE id IN (SELECT DISTINCT store_id FROM product_prices) UNION ALL
     SELECT DISTINCT store_db_id, 2 FROM store_promotions_cache WHERE store_db_id NOT IN (SELECT id FROM stores WHERE id IN (SELECT DISTINCT store_id FROM product_prices))""")
 def insert_ignore(spark, folder):
-    used = table(spark, folder, "product_prices", F.col("store_id").alias("id"))
+    used = table(spark, folder, "product_prices", F.col("store_id").alias("id")).distinct()
     held = table(spark, folder, "stores", "id").join(used, "id", "left_semi").withColumn("origin", F.lit(1))
     new = table(spark, folder, "store_promotions_cache", F.col("store_db_id").alias("id")).withColumn("origin", F.lit(2))
     return merge.insert_ignore(held, new, ["id"])
@@ -479,7 +478,7 @@ def code_lineage(spark, folder):
     return sums.withColumn("first_gap", gap)
 
 
-@query("""WITH RECURSIVE steps AS (SELECT chain_id, updated_at, row_number() OVER (PARTITION BY chain_id ORDER BY updated_at, promotion_id, promotion_description) AS n FROM promotions)
+@query("""WITH steps AS (SELECT chain_id, updated_at, row_number() OVER (PARTITION BY chain_id ORDER BY updated_at, promotion_id, promotion_description) AS n FROM promotions)
     SELECT chain_id, CAST(max(n) AS BIGINT) AS sent, epoch_us(min(updated_at)) AS first_us, epoch_us(max(updated_at)) AS last_us, CAST(floor(date_diff('second', min(updated_at), max(updated_at)) / 86400) AS BIGINT) AS days FROM steps GROUP BY chain_id""")
 def send_ledger(spark, folder):
     rows = table(spark, folder, "promotions", "chain_id", "updated_at").groupBy("chain_id").agg(F.count(F.lit(1)).alias("sent"), F.min("updated_at").alias("a"), F.max("updated_at").alias("b"))

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from shelfspark.functions import clean
-from shelfspark.operators.ranking import rank_all
+from shelfspark.operators.ranking import rank_all, running
 from shelfspark.operators.search import search_ranked, two_stage_search
 from shelfspark.streaming.feeds import with_flush_records
 
@@ -36,3 +36,17 @@ def test_rules_and_flush_records(spark):
     assert [r[0] for r in df.select(rule.alias("o"), "i").orderBy("i").select("o").collect()] == ["first", None, "rest"]
     messages = sorted(tuple(r) for r in with_flush_records(spark.createDataFrame([("f", 1), ("f", 2)], "file_name string, v int")).collect())
     assert messages == [("f", '{"file_name":"f","v":1}'), ("f", '{"file_name":"f","v":2}'), ("f", '{"type":"flush","file_name":"f"}')]
+
+
+def test_running_equals_brute_force(spark):
+    random.seed(9)
+    rows = [(random.choice(["hot", "hot", "hot", "a", None]), i, random.choice([None, None, f"v{i}"]), random.randrange(-3, 4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, i int, v string, n long").withColumn("m", F.col("n"))
+    for partitions in (1, 7):
+        found = {r["i"]: (r["v"], r["n"], r["m"]) for r in running(df, ["k"], [F.col("i")], {"v": "last", "n": "sum", "m": "min"}, partitions).collect()}
+        state, expected = {}, {}
+        for k, i, v, n in rows:
+            last, total, least = state.get(k, (None, 0, 99))
+            state[k] = expected[i] = (v if v is not None else last, total + n, min(least, n))
+        assert found == expected
+    assert running(df.limit(0), ["k"], [F.col("i")], {"v": "last"}).count() == 0

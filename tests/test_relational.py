@@ -68,7 +68,16 @@ def test_match_exclusive_equals_greedy(spark):
 
 
 @pytest.mark.parametrize("p", [0, 50, 95, 100])
-def test_nearest_rank(spark, p):
-    values = [5, 1, 4, 2, 3, 9, 7]
-    df = spark.createDataFrame([(v,) for v in values], "v int")
-    assert df.agg(R.nearest_rank(F.col("v"), p)).first()[0] == sorted(values)[int(p / 100 * (len(values) - 1) + 0.5)]
+def test_nearest_ranks(spark, p):
+    values = {"a": [5, 1, 4, 2, 3, 9, 7, 7, 7], None: [3, 3], "c": [8]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in [*vs, None]], "k string, v int").repartition(5)
+    found = {r["k"]: (r["at"], r["greatest"], r["group_size"]) for r in R.nearest_ranks(df, ["k"], "v", {"at": p}).collect()}
+    assert found == {k: (sorted(vs)[int(p / 100 * (len(vs) - 1) + 0.5)], max(vs), len(vs)) for k, vs in values.items()}
+    assert R.nearest_ranks(df.limit(0), ["k"], "v", {"at": p}).count() == 0
+
+
+def test_next_after_in_a_key_of_many_rows(spark):
+    left = spark.range(200_000).select(F.lit("hot").alias("k"), (F.col("id") * 3).alias("at"))
+    right = spark.range(200_000).select(F.lit("hot").alias("k"), (F.col("id") * 3 + 1).alias("at2"))
+    found = R.next_after(left, right, ["k"], "at", "at2", "next")
+    assert found.filter("next = at + 1").count() == 200_000
