@@ -99,9 +99,9 @@ def history(snapshots: DataFrame, keys: Sequence[str], at: Column, attributes: S
     hot = hot_buckets(rows, names, hot_rows, buckets)
     if hot:
         hashed = rows.withColumn("hash", attribute_hash(values)).withColumn("bucket", bucket_of(names, buckets))
-        is_hot = F.col("bucket").isin(*hot)
-        busy = hashed.filter(is_hot).dropDuplicates([*names, "at", "hash"])
-        tables = [_versions(hashed.filter(~is_hot).drop("bucket"), names), _sliced_versions(_slices(busy, hot, hot_rows), names)]
+        listed = F.broadcast(snapshots.sparkSession.createDataFrame([(b,) for b in hot], "bucket int"))
+        busy = hashed.join(listed, "bucket", "left_semi").dropDuplicates([*names, "at", "hash"])
+        tables = [_versions(hashed.join(listed, "bucket", "left_anti").drop("bucket"), names), _sliced_versions(_slices(busy, hot, hot_rows), names)]
         done = reduce(DataFrame.unionByName, tables)
     else:
         done = _versions(rows.withColumn("hash", attribute_hash(values)), names)
@@ -113,20 +113,28 @@ def history(snapshots: DataFrame, keys: Sequence[str], at: Column, attributes: S
     )
 
 
-def merge_history(current: DataFrame, updates: DataFrame, keys: Sequence[str], at: Column, attributes: Sequence[str]) -> DataFrame:
-    """Carry a history on with later snapshots.
+def merge_history(current: DataFrame, updates: DataFrame, keys: Sequence[str], at: Column, attributes: Sequence[str], hot_rows: int = HOT_ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """Carry a history on with further snapshots.
 
-    Closed versions pass unchanged. The open version of each key (``valid_to``
-    -1) counts as one more snapshot at its ``valid_from``; where the hash of a
-    later snapshot differs, it is closed at that time and a new version opened.
-    Snapshots before the open version began are late: they are compared like
-    all others, so a late row may split the open version, never a closed one.
+    The hash of each snapshot is compared with the version that holds at its
+    time: where it differs, that version is closed and a new one inserted. Only
+    the open version (``valid_to`` -1) of a key takes part, as one more snapshot
+    at its ``valid_from``, while its closed versions pass unchanged; but where
+    a key has late snapshots, from before its last closed version ended, all of
+    its versions are opened again, so no snapshot is dropped. A version keeps
+    no snapshots that confirmed it, so a late one that differs holds until the
+    next version. Nulls, repeats and hot keys are handled as in ``history``.
     """
-    closed = current.filter(F.col("valid_to") != OPEN)
-    latest = closed.groupBy(*keys).agg(F.max("valid_to").alias("settled"))
-    renamed = [F.col(k).alias(k) for k in keys]
-    opened = current.filter(F.col("valid_to") == OPEN).select(*renamed, F.col("valid_from").alias("at_"), *attributes)
-    new = updates.select(*renamed, at.cast("bigint").alias("at_"), *attributes)
-    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
-    new = new.alias("n").join(latest.alias("l"), same, "left").filter(F.col("settled").isNull() | (F.col("at_") >= F.col("settled"))).select("n.*")
-    return closed.select(*keys, *attributes, "valid_from", "valid_to").unionByName(history(opened.unionByName(new), keys, F.col("at_"), attributes))
+    columns = [*keys, *attributes, "valid_from", "valid_to"]
+    same = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+    held = current.select(*columns)
+    new = updates.select(*keys, at.cast("bigint").alias("at_"), *attributes).filter(F.col("at_").isNotNull())
+    first = new.groupBy(*keys).agg(F.min("at_").alias("first_"))
+    settled = held.filter(F.col("valid_to") != OPEN).groupBy(*keys).agg(F.max("valid_to").alias("settled_"))
+    late = first.join(settled, same(first, settled)).filter("first_ < settled_").select(*[first[k] for k in keys])
+    reopened = (F.col("valid_to") == OPEN) | F.col("late_")
+    late = late.select(*[F.col(k).alias(f"{k}_late") for k in keys], F.lit(True).alias("late_"))
+    is_late = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_late")) for k in keys])
+    marked = held.join(late, is_late, "left").withColumn("late_", F.coalesce("late_", F.lit(False)))
+    snapshots = marked.filter(reopened).select(*keys, F.col("valid_from").alias("at_"), *attributes).unionByName(new)
+    return marked.filter(~reopened).select(*columns).unionByName(history(snapshots, keys, F.col("at_"), attributes, hot_rows, buckets))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.history import OPEN, history
+from ..checkpoints import materialise
+from ..operators.history import OPEN, history, merge_history
 from ..operators.orphans import Reference, orphan_references, parent_intervals
 from ..operators.shred import child_rows
 from ..operators.units import normalise_quantities
@@ -37,6 +38,17 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return versions.select("product_id", "store_id", second("valid_from").alias("valid_from"), F.when(F.col("valid_to") == OPEN, OPEN).otherwise(second("valid_to")).cast("bigint").alias("valid_to"))
 
 
+def history_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions with their attributes, built from the snapshots before a cut, then carried on with all later ones."""
+    prices = table(spark, folder, "product_prices", "product_id", "store_id", "price", "promo_price", "updated_at")
+    rows = prices.withColumn("at", unix_micro(prices, "updated_at"))
+    keys, attributes, cut = ["product_id", "store_id"], ["price", "promo_price"], F.lit(1_743_465_600_000_000)  # 2025-04-01
+    begun = materialise(history(rows.filter(F.col("at") < cut), keys, F.col("at"), attributes), "history")
+    merged = merge_history(begun, rows.filter(F.col("at") >= cut), keys, F.col("at"), attributes)
+    e4 = lambda c: (F.col(c) * 10000).cast("bigint").alias(f"{c}_e4")
+    return merged.select(*keys, e4("price"), e4("promo_price"), "valid_from", "valid_to")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     prices = table(spark, folder, "product_prices", "product_id", "store_id", "updated_at", "unit_qty", "unit_of_measure", "b_is_weighted")
     rows = prices.withColumn("at_second", unix_second(prices, "updated_at")).drop("updated_at")
@@ -47,7 +59,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return child_rows(table(spark, folder, "promotions", "chain_id", "promotion_id", "items", "available_in_store_ids"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p5_found, p6_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p5_found, history_merged, p6_found, p7_found)}
 
 SQL = {
     "p2_found": """
@@ -74,6 +86,14 @@ SQL = {
         SELECT product_id, store_id, valid_from,
             CAST(coalesce(lead(valid_from) OVER (PARTITION BY product_id, store_id ORDER BY valid_from), -1) AS BIGINT) AS valid_to
         FROM begun""",
+    "history_merged": """
+        WITH rows AS (SELECT DISTINCT product_id, store_id, updated_at, price, promo_price FROM product_prices WHERE updated_at IS NOT NULL),
+        compared AS (
+            SELECT *, row_number() OVER w = 1 OR price IS DISTINCT FROM lag(price) OVER w OR promo_price IS DISTINCT FROM lag(promo_price) OVER w AS begins
+            FROM rows WINDOW w AS (PARTITION BY product_id, store_id ORDER BY updated_at))
+        SELECT product_id, store_id, CAST(price * 10000 AS BIGINT) AS price_e4, CAST(promo_price * 10000 AS BIGINT) AS promo_price_e4, epoch_us(updated_at) AS valid_from,
+            coalesce(lead(epoch_us(updated_at)) OVER (PARTITION BY product_id, store_id ORDER BY updated_at), -1) AS valid_to
+        FROM compared WHERE begins""",
     "p7_found": r"""
         WITH RECURSIVE texts AS (
             SELECT chain_id, promotion_id, row_number() OVER () AS row_no, trim(ltrim(trim(items, E' \t\r\n'), chr(65279)), E' \t\r\n') AS t FROM promotions),

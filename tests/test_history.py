@@ -79,3 +79,25 @@ def test_merging_later_snapshots_equals_building_at_once(spark):
     current = history(make(early), ["p", "s"], F.col("at"), ["price", "promo"])
     merged = merge_history(current, make(late), ["p", "s"], F.col("at"), ["price", "promo"])
     assert found(merged) == brute(rows)
+
+
+def test_both_paths_agree_on_null_keys_and_merges(spark):
+    rows = [(None, 7, *r[2:]) if r[0] == 1 else r for r in sample(600, 8)]
+    early, late = [r for r in rows if r[4] < 200], [r for r in rows if r[4] >= 200]
+    make = lambda part: spark.createDataFrame(part, SCHEMA)
+    for hot_rows in (25, 2_000_000):
+        assert found(history(make(rows), ["p", "s"], F.col("at"), ["price", "promo"], hot_rows, 16)) == brute(rows)
+        current = history(make(early), ["p", "s"], F.col("at"), ["price", "promo"], hot_rows, 16)
+        assert found(merge_history(current, make(late), ["p", "s"], F.col("at"), ["price", "promo"], hot_rows, 16)) == brute(rows)
+
+
+def test_late_snapshots_split_closed_versions(spark):
+    a, b, c, d = (Decimal(f"{i}.0000") for i in range(1, 5))
+    make = lambda part: spark.createDataFrame([(*k, v, None, t, "x") for k, v, t in part], SCHEMA)
+    current = history(make([((1, None), a, 10), ((1, None), b, 20), ((1, None), a, 30), ((2, 2), a, 1), ((2, 2), b, 9)]), ["p", "s"], F.col("at"), ["price", "promo"])
+    updates = make([((1, None), c, 5), ((1, None), d, 25), ((1, None), b, 26), ((1, None), a, 40), ((2, 2), b, 11), ((3, 3), a, 1), ((3, 3), a, None)])
+    merged = merge_history(current, updates, ["p", "s"], F.col("at"), ["price", "promo"])
+    expected = [(1, None, c, 5, 10), (1, None, a, 10, 20), (1, None, b, 20, 25), (1, None, d, 25, 26), (1, None, b, 26, 30), (1, None, a, 30, -1), (2, 2, a, 1, 9), (2, 2, b, 9, -1), (3, 3, a, 1, -1)]
+    assert {(r["p"], r["s"], r["price"], r["valid_from"], r["valid_to"]) for r in merged.collect()} == set(expected) and merged.count() == len(expected)
+    nothing = make([])
+    assert merge_history(current, nothing, ["p", "s"], F.col("at"), ["price", "promo"]).count() == current.count() == 5
