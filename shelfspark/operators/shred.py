@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 REPEATED = None  # the step of a path into the elements of a list
 Path = tuple  # of key names and REPEATED
 Column_ = list[tuple[int, int, str | None]]
+SparseColumn = list[tuple[int, int, tuple[int, ...], str]]
 _ABSENT = object()  # stands where a step of a path is not there
 ROWS_PER_FRAME = 20_000
 
@@ -174,6 +175,61 @@ def _text(value: object) -> str:
     return {True: "true", False: "false"}[value] if isinstance(value, bool) else str(value)
 
 
+class Paths:
+    """Paths as a tree: the step and the path above of each, by number; the whole record is number 0."""
+
+    def __init__(self) -> None:
+        self.above, self.step, self.repeats = [-1], [None], [0]
+        self._below: list[dict] = [{}]
+
+    def below(self, path: int, step: str | None) -> int:
+        found = self._below[path].get(step)
+        if found is None:
+            found = self._below[path][step] = len(self.above)
+            self.above.append(path)
+            self.step.append(step)
+            self.repeats.append(self.repeats[path] + (step is REPEATED))
+            self._below.append({})
+        return found
+
+
+def sparse_columns(value: object, wanted: Callable[[str], bool]) -> tuple[Paths, dict[int, SparseColumn]]:
+    """The columns of the wanted leaves, without entries for what is absent.
+
+    An entry is (repetition level, elements passed over at that level, places in
+    the lists below, value): where ``shred`` writes an entry for every element
+    that lacks the path, here the next entry tells how many were passed over,
+    and where in deeper lists it stands. So a record takes time and space in
+    proportion to its values and their levels, however its keys differ.
+    """
+    paths, columns, last = Paths(), {}, {}
+    stack: list[tuple[object, int, tuple[int, ...]]] = [(value, 0, ())] if isinstance(value, (dict, list)) else []
+    while stack:
+        at, path, place = stack.pop()
+        if isinstance(at, dict):
+            stack += [(v, paths.below(path, k), place) for k, v in reversed(at.items()) if isinstance(v, (dict, list)) or (v is not None and wanted(k))]
+        elif isinstance(at, list):
+            below = paths.below(path, REPEATED)
+            stack += [(at[i], below, (*place, i)) for i in range(len(at) - 1, -1, -1) if isinstance(at[i], (dict, list))]
+        else:
+            before = last.get(path)
+            r = next((i for i, (x, y) in enumerate(zip(before, place)) if x != y), len(place)) if before is not None else -1
+            entry = (r + 1, place[r] - before[r] - 1, place[r + 1 :], _text(at)) if 0 <= r < len(place) else (0, 0, place, _text(at))
+            columns.setdefault(path, []).append(entry)
+            last[path] = place
+    return paths, columns
+
+
+def sparse_places(column: SparseColumn) -> dict[tuple[int, ...], str]:
+    """Each value by its place in the lists of its path, counted from the levels."""
+    at: tuple[int, ...] = ()
+    found = {}
+    for r, passed, below, value in column:
+        at = (*at[: r - 1], at[r - 1] + 1 + passed, *below) if r else below
+        found[at] = value
+    return found
+
+
 def places(path: Path, column: Column_) -> dict[tuple[int, ...], str]:
     """Each value by its place in the lists of its path, counted from the levels."""
     repeats, depth = sum(s is REPEATED for s in path), len(path)
@@ -200,25 +256,33 @@ def nested_rows(value: object, code_key: str = "itemcode", group_key: str = "gro
     Codes and groups are trimmed; null and blank ones don't count.
     """
     is_code, is_group = same_key(code_key), same_key(group_key)
-    paths = leaf_paths(value, lambda k: is_code(k) or is_group(k))
-    columns = shred(value, paths)
-    tables: tuple[dict, dict] = {}, {}
-    for path in paths:
-        values = {i: t for i, v in places(path, columns[path]).items() if (t := v.strip())}
-        owner = tables[is_group(path[-1])].setdefault(path[:-1], {})
-        for i, v in values.items():
-            owner.setdefault(i, v)
+    paths, columns = sparse_columns(value, lambda k: is_code(k) or is_group(k))
+    tables: tuple[dict[int, dict], dict[int, dict]] = {}, {}
+    for path, column in columns.items():
+        owner = tables[is_group(paths.step[path])].setdefault(paths.above[path], {})
+        for place, v in sparse_places(column).items():
+            if t := v.strip():
+                owner.setdefault(place, t)
     codes, groups = tables
 
-    lengths = {id(t): sorted({len(o) for o in t}, reverse=True) for t in tables}
+    def holders(table: dict[int, dict]) -> list[int]:
+        """The nearest path from each upwards that has a table, or -1."""
+        found: list[int] = []
+        for path, above in enumerate(paths.above):
+            found.append(path if path in table else found[above] if above >= 0 else -1)
+        return found
+
+    with_code, with_group = holders(codes), holders(groups)
 
-    def nearest(table: dict, owner: Path, at: tuple[int, ...], strict: bool) -> str:
-        for n in lengths[id(table)]:
-            if n <= len(owner) - strict and (rows := table.get(owner[:n])) and (hit := rows.get(at[: sum(s is REPEATED for s in owner[:n])])):
+    def nearest(table: dict[int, dict], holder: list[int], path: int, place: tuple[int, ...]) -> str:
+        path = holder[path] if path >= 0 else -1
+        while path >= 0:
+            if hit := table[path].get(place[: paths.repeats[path]]):
                 return hit
+            path = holder[paths.above[path]] if paths.above[path] >= 0 else -1
         return ""
 
-    return [(nearest(groups, owner, at, False), nearest(codes, owner, at, True), code) for owner, rows in codes.items() for at, code in rows.items()]
+    return [(nearest(groups, with_group, owner, place), nearest(codes, with_code, paths.above[owner], place), code) for owner, rows in codes.items() for place, code in rows.items()]
 
 
 def _records(batches: Iterator[pd.DataFrame], ids: Sequence[str], json_column: str) -> Iterator[tuple[tuple, str]]:

@@ -1,11 +1,12 @@
 import json
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfspark.operators.shred import REPEATED, _parsed_deep, child_rows, leaf_paths, nested_rows, parse_json, places, shred
+from shelfspark.operators.shred import REPEATED, _parsed_deep, child_rows, leaf_paths, nested_rows, parse_json, places, shred, sparse_columns, sparse_places
 
 SCALARS = st.one_of(st.integers(0, 99).map(str), st.none(), st.text("ab ", max_size=3))
 KEYS = st.sampled_from(["ItemCode", "item_code", "GroupId", "groupid", "items", "Group", "x"])
@@ -54,6 +55,33 @@ def test_levels_give_every_leaf_its_place(value):
     assert all(c[0][0] == 0 for c in columns.values())
 
 
+@settings(max_examples=200, deadline=None)
+@given(TREES)
+def test_sparse_columns_hold_what_full_ones_do(value):
+    paths, columns = sparse_columns(value, lambda _: True)
+
+    def steps(path):
+        return () if path == 0 else (*steps(paths.above[path]), paths.step[path])
+
+    full = shred(value, leaf_paths(value, lambda _: True))
+    expected = {p: places(p, c) for p, c in full.items()}
+    assert {steps(p): sparse_places(c) for p, c in columns.items()} == {p: v for p, v in expected.items() if v}
+
+
+def test_time_grows_with_the_record():
+    def seconds(n):
+        text = json.dumps([{"items": [{"itemcode": str(i), f"key{i}": [{"itemcode": f"x{i}"}]}]} for i in range(n)])
+        began = time.perf_counter()
+        assert len(nested_rows(parse_json(text))) == 2 * n
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(2_000) < 0.5 and seconds(20_000) < 5
+    deep = 10_000
+    text = '{"itemcode": "1", "items": [' * deep + "]}" * deep
+    assert nested_rows(parse_json(text)) .count(("", "1", "1")) == deep - 1
+
+
 def test_texts():
     assert nested_rows(parse_json('﻿ {"groupid": 2, "items": "[{\\"itemcode\\": 7}]"} ')) == [("2", "", "7")]
     assert nested_rows(parse_json(json.dumps(json.dumps([{"ITEMCODE": " 5 ", "gifts": [{"itemCode": "6"}]}])))) == [("", "", "5"), ("", "5", "6")]
