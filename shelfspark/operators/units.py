@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from decimal import Decimal
+from fractions import Fraction
 from functools import lru_cache
 
 import ahocorasick
@@ -31,7 +32,7 @@ UNITS: list[tuple[str, str, str, list[str]]] = [
 ]
 # Words and signs that state an amount.
 AMOUNT_WORDS = {"חצי": "0.5", "רבע": "0.25", "שלושת רבעי": "0.75", "half": "0.5", "quarter": "0.25"}
-AMOUNT_SIGNS = {"½": "0.5", "¼": "0.25", "¾": "0.75", "⅓": "0.333333333", "⅔": "0.666666667", "⅛": "0.125"}
+AMOUNT_SIGNS = {"½": "1/2", "¼": "1/4", "¾": "3/4", "⅓": "1/3", "⅔": "2/3", "⅛": "1/8"}
 # Units in which the amounts of the table are already canonical.
 CANONICAL = ("גרם", 'מ"ל', "יחידה")
 
@@ -46,12 +47,12 @@ def _plain(text: str) -> str:
     return re.sub(r"\s+", " ", text).strip()
 
 
-def _number(text: str) -> Decimal:
+def _number(text: str) -> Fraction:
     """A comma before exactly three digits groups thousands, any other is a decimal mark."""
     if re.fullmatch(r"\d{1,3}(?:,\d{3})+(?:\.\d+)?", text):
-        return Decimal(text.replace(",", ""))
+        return Fraction(text.replace(",", ""))
     head, *tail = re.split(r"[.,]", text)
-    return Decimal(f"{head or 0}.{''.join(tail) or 0}")
+    return Fraction(f"{head or 0}.{''.join(tail) or 0}")
 
 
 @lru_cache(maxsize=1)
@@ -83,7 +84,7 @@ def _spans(text: str) -> list[tuple[int, int, str, str]]:
     return taken
 
 
-def read_quantity(unit_qty: str | None, unit_of_measure: str | None, weighted: bool | None) -> tuple[str, Decimal] | None:
+def read_quantity(unit_qty: str | None, unit_of_measure: str | None, weighted: bool | None) -> tuple[str, Fraction] | None:
     """(unit, amount) of a quantity, or None where it can't be read.
 
     The amount stands in ``unit_qty``: numbers, fractions, words and factors
@@ -96,8 +97,8 @@ def read_quantity(unit_qty: str | None, unit_of_measure: str | None, weighted: b
         return None
     spans = _spans(text)
     units = [(a, b, v) for a, b, k, v in spans if k == "unit"]
-    pieces: list[tuple[int, int, Decimal]] = [(a, b, Decimal(v)) for a, b, k, v in spans if k == "amount"]
-    pieces += [(i, i + 1, Decimal(AMOUNT_SIGNS[c])) for i, c in enumerate(text) if c in AMOUNT_SIGNS]
+    pieces: list[tuple[int, int, Fraction]] = [(a, b, Fraction(v)) for a, b, k, v in spans if k == "amount"]
+    pieces += [(i, i + 1, Fraction(AMOUNT_SIGNS[c])) for i, c in enumerate(text) if c in AMOUNT_SIGNS]
     numbers = [(m.start(), m.end(), m.group()) for m in _NUMBER.finditer(text)]
     i = 0
     while i < len(numbers):
@@ -129,7 +130,7 @@ def read_quantity(unit_qty: str | None, unit_of_measure: str | None, weighted: b
             at = (at[0], end)
     if total is None:
         dozen = [u for u in units if u[2] == "dozen"]
-        return ("dozen", Decimal(1)) if dozen else None
+        return ("dozen", Fraction(1)) if dozen else None
     after = [u for u in units if u[0] >= at[1]]
     before = [u for u in units if u[1] <= at[0]]
     if after:
@@ -147,15 +148,25 @@ def _read(qty: pd.Series, measure: pd.Series, weighted: pd.Series) -> pd.DataFra
     rows = pd.Series(list(zip(qty.where(qty.notna(), None), measure.where(measure.notna(), None), weighted.eq(True).fillna(False))), dtype=object)
     codes, distinct = pd.factorize(rows)
     read = [_cached(q, m, bool(w)) for q, m, w in distinct]
-    units = pd.Series([r and r[0] for r in read], dtype=object)
-    amounts = pd.Series([r and r[1] for r in read], dtype=object)
-    return pd.DataFrame({"unit": units.take(codes).values, "amount": amounts.take(codes).values})
+    return pd.DataFrame({name: pd.Series([r[i] for r in read], dtype=object).take(codes).values for i, name in enumerate(("unit", "whole", "part", "reason"))})
 
 
 @lru_cache(maxsize=200_000)
-def _cached(qty: str | None, measure: str | None, weighted: bool) -> tuple[str, str] | None:
-    found = read_quantity(qty, measure, weighted)
-    return found and (found[0], f"{found[1]:f}"[:40])
+def _cached(qty: str | None, measure: str | None, weighted: bool) -> tuple[str | None, str | None, str | None, str | None]:
+    """(unit, whole amount, 18 digits of the rest, rounded up, reason if it can't be read)."""
+    try:
+        found = read_quantity(qty, measure, weighted)
+    except ValueError:  # more digits than Python reads at once
+        return None, None, None, "too large"
+    if found is None:
+        return None, None, None, "no unit" if read_quantity(qty, measure, True) else "no amount"
+    unit, amount = found
+    if not amount:
+        return None, None, None, "zero"
+    whole, rest = divmod(amount, 1)
+    if whole >= 10**20:
+        return None, None, None, "too large"
+    return unit, str(whole), str(-int(-rest * 10**18 // 1)), None
 
 
 def conversion_factors(spark: SparkSession) -> DataFrame:
@@ -168,23 +179,44 @@ def normalise_quantities(rows: DataFrame, keys: list[str], qty: str = "unit_qty"
     """One row per key whose quantity is readable, not zero and not canonical yet.
 
     ``keys`` are columns of ``rows``. Result: keys, base_unit, amount_milli
-    (thousandths of the base unit, rounded to the nearest, halves up). A null
-    flag counts as not weighted. Null, blank or wordless quantities and amounts
-    of 10^12 or more give no row;
-    of differing quantities of one key the smallest (base unit, amount) stays.
+    (thousandths of the base unit, rounded to the nearest, halves up; exact for
+    fractions with up to 18 decimal places or a denominator under 80,000). A
+    null flag counts as not weighted. Null, blank and wordless quantities, and
+    amounts that no BIGINT holds, give no row here: ``quantity_misses`` tells
+    why. Of differing quantities of one key the smallest (base unit, amount)
+    stays.
 
     Rows already canonical are dropped before Python sees them; the factors, one
     row per unit, are broadcast; only converted rows are shuffled.
     """
+    done = _converted(rows, keys, qty, measure, weighted).filter(F.col("milli_").isNotNull())
+    return done.groupBy(*keys).agg(F.min(F.struct("base_", "milli_")).alias("least_")).select(*keys, F.col("least_.base_").alias("base_unit"), F.col("least_.milli_").alias("amount_milli"))
+
+
+def quantity_misses(rows: DataFrame, keys: list[str], qty: str = "unit_qty", measure: str = "unit_of_measure", weighted: str = "b_is_weighted") -> DataFrame:
+    """keys, the quantity as written and the reason, of each quantity that ``normalise_quantities`` gives no amount for.
+
+    Reasons: 'no amount', 'no unit', 'zero', 'too large' (no BIGINT holds it). A
+    null quantity has no amount; canonical rows are no misses. Repeats come once.
+    """
+    missed = _converted(rows, keys, qty, measure, weighted).filter(F.col("milli_").isNull())
+    nothing = rows.filter(F.col(qty).isNull()).select(*keys, qty, measure, F.lit("no amount").alias("reason"))
+    return missed.select(*keys, qty, measure, F.coalesce("read_.reason", F.lit("too large")).alias("reason")).unionByName(nothing).distinct()
+
+
+def _converted(rows: DataFrame, keys: list[str], qty: str, measure: str, weighted: str) -> DataFrame:
+    """keys, the quantity, ``read_``, base_ and milli_ (null where unreadable) of all rows that are not canonical yet."""
     canonical = F.col(qty).rlike("^[0-9]+$") & F.col(measure).isin(*CANONICAL)
     dirty = rows.select(*keys, qty, measure, weighted).filter(F.col(qty).isNotNull() & ~F.coalesce(canonical, F.lit(False)))
-    read = F.pandas_udf(_read_udf, "unit string, amount string").asNondeterministic()  # else the filters below would run it again
-    parsed = dirty.select(*keys, read(qty, measure, weighted).alias("read_")).select(*keys, F.col("read_.unit").alias("unit_"), F.expr("try_cast(read_.amount as decimal(21,9))").alias("amount_"))
+    read = F.pandas_udf(_read_udf, "unit string, whole string, part string, reason string").asNondeterministic()  # else the filters above would run it again
+    parsed = dirty.select(*keys, qty, measure, read(qty, measure, weighted).alias("read_"))
     factors = F.broadcast(conversion_factors(rows.sparkSession).select(F.col("unit").alias("unit_"), F.col("base_unit").alias("base_"), F.col("factor_e6").alias("factor_")))
-    product = "cast(amount_ * 1000000000BD as decimal(21,0)) * factor_"
-    milli = F.expr(f"({product} + 500000000000000BD) div 1000000000000000BD")
-    done = parsed.filter(F.col("unit_").isNotNull() & (F.col("amount_") > 0)).join(factors, "unit_").select(*keys, "base_", milli.alias("milli_"))
-    return done.groupBy(*keys).agg(F.min(F.struct("base_", "milli_")).alias("least_")).select(*keys, F.col("least_.base_").alias("base_unit"), F.col("least_.milli_").alias("amount_milli"))
+    joined = parsed.join(factors, F.col("read_.unit") == F.col("unit_"), "left")
+    # Whole and rest are multiplied apart, so that no product has more than 38 digits.
+    whole = "cast(read_.whole as decimal(20,0)) * factor_"
+    rest = f"(({whole}) % 1000000BD) * 1000000000000000000BD + cast(read_.part as decimal(19,0)) * factor_ + 500000000000000000000000BD"
+    milli = F.expr(f"try_cast(cast(({whole} - ({whole}) % 1000000BD) / 1000000BD as decimal(30,0)) + cast(({rest}) div 1000000000000000000000000BD as decimal(20,0)) as bigint)")
+    return joined.select(*keys, qty, measure, "read_", "base_", milli.alias("milli_"))
 
 
 def _read_udf(qty: pd.Series, measure: pd.Series, weighted: pd.Series) -> pd.DataFrame:

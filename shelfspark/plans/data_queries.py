@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from ..checkpoints import materialise
 from ..operators.history import OPEN, history, merge_history
 from ..operators.orphans import Reference, orphan_references, parent_intervals
 from ..operators.shred import child_rows
-from ..operators.units import normalise_quantities
+from ..operators.units import UNITS, normalise_quantities, quantity_misses
 from ..sources.tables import table, unix_micro, unix_second
 
 
@@ -55,13 +58,44 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return normalise_quantities(rows, ["product_id", "store_id", "at_second"])
 
 
+def p6_misses(spark: SparkSession, folder: str) -> DataFrame:
+    """How many distinct quantities as written can't be read, by reason."""
+    rows = table(spark, folder, "product_prices", "unit_qty", "unit_of_measure", "b_is_weighted")
+    return quantity_misses(rows, []).groupBy("reason").agg(F.count(F.lit(1)).alias("notations"))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return child_rows(table(spark, folder, "promotions", "chain_id", "promotion_id", "items", "available_in_store_ids"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p5_found, history_merged, p6_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p5_found, history_merged, p6_found, p6_misses, p7_found)}
+
+# SQL's own reading of the notations: spellings from the longest on, then patterns.
+_SPELLINGS = sorted(((s, unit, base, int(Decimal(factor) * 10**6)) for unit, base, factor, spellings in UNITS for s in spellings), key=lambda s: -len(s[0]))
+_ALTERNATIVES = "|".join(re.escape(s[0]).replace("'", "''") for s in _SPELLINGS)
+_UNIT_ROWS = ", ".join(f"('{s.replace(chr(39), chr(39) * 2)}', '{unit}', '{base}', {factor})" for s, unit, base, factor in _SPELLINGS)
+_SPELLING_PATTERN = rf'''(?:^|[^\p{{L}}])({_ALTERNATIVES})(?:$|[^\p{{L}}"''])'''
+_PLAIN = r"""trim(regexp_replace(replace(translate(lower({0}), '״”“׳’‘`', repeat('"', 3) || repeat(chr(39), 4)), chr(39) || chr(39), '"'), '[\s\x{{a0}}]+', ' ', 'g'))"""
+_NUMBER_E4 = r"CAST(CAST(CASE WHEN regexp_full_match({0}, '[0-9]{{1,3}}(,[0-9]{{3}})+(\.[0-9]+)?') THEN replace({0}, ',', '') ELSE replace({0}, ',', '.') END AS DECIMAL(30,4)) * 10000 AS HUGEINT)"
 
 SQL = {
+    "p6_found": rf"""
+        WITH spellings(spelling, unit, base, factor) AS (VALUES {_UNIT_ROWS}),
+        texts AS (
+            SELECT DISTINCT unit_qty, unit_of_measure, coalesce(b_is_weighted, FALSE) AS weighted, {_PLAIN.format("unit_qty")} AS t, {_PLAIN.format("coalesce(unit_of_measure, '')")} AS m FROM product_prices
+            WHERE unit_qty IS NOT NULL AND NOT coalesce(regexp_full_match(unit_qty, '[0-9]+') AND unit_of_measure IN ('גרם', 'מ"ל', 'יחידה'), FALSE)),
+        parts AS (
+            SELECT *, regexp_extract(t, '{_SPELLING_PATTERN}', 1) AS in_text, regexp_extract(m, '{_SPELLING_PATTERN}', 1) AS in_measure,
+                regexp_extract(t, '([0-9]+(?:[.,][0-9]+)*)\s*[x×*]\s*([0-9]+(?:[.,][0-9]+)*)', ['a', 'b']) AS pack, regexp_extract(t, '(?:([0-9]+) )?([0-9]+)/([0-9]+)', ['w', 'n', 'd']) AS fraction,
+                regexp_extract(t, '([0-9]*)½', ['w']) AS half, regexp_extract(t, '[0-9]+(?:[.,][0-9]+)*') AS number FROM texts),
+        amounts AS (
+            SELECT *, CASE WHEN pack.a <> '' THEN {_NUMBER_E4.format("pack.a")} * {_NUMBER_E4.format("pack.b")} WHEN fraction.d <> '' THEN CAST(CASE fraction.w WHEN '' THEN '0' ELSE fraction.w END AS HUGEINT) * CAST(fraction.d AS HUGEINT) + CAST(fraction.n AS HUGEINT)
+                    WHEN contains(t, '½') THEN 2 * CAST(CASE half.w WHEN '' THEN '0' ELSE half.w END AS HUGEINT) + 1 WHEN number <> '' THEN {_NUMBER_E4.format("number")} WHEN contains(t, 'חצי') OR contains(t, 'רבע') OR in_text IN ('תריסר', 'dozen') THEN 1 END AS n,
+                CASE WHEN pack.a <> '' THEN 100000000 WHEN fraction.d <> '' THEN CAST(fraction.d AS HUGEINT) WHEN contains(t, '½') THEN 2 WHEN number <> '' THEN 10000 WHEN contains(t, 'חצי') THEN 2 WHEN contains(t, 'רבע') THEN 4 ELSE 1 END AS d,
+                CASE WHEN in_text <> '' THEN in_text WHEN in_measure <> '' THEN in_measure WHEN weighted THEN 'kg' END AS spelling FROM parts),
+        read AS (SELECT unit_qty, unit_of_measure, weighted, base, CAST((2 * n * factor + d * 1000000) // (2 * d * 1000000) AS BIGINT) AS milli FROM amounts JOIN spellings USING (spelling) WHERE n > 0)
+        SELECT product_id, store_id, CAST(floor(epoch(updated_at)) AS BIGINT) AS at_second, min((base, milli))[1] AS base_unit, min((base, milli))[2] AS amount_milli
+        FROM product_prices p JOIN read r ON r.unit_qty = p.unit_qty AND r.unit_of_measure IS NOT DISTINCT FROM p.unit_of_measure AND r.weighted = coalesce(p.b_is_weighted, FALSE) GROUP BY ALL""",
     "p2_found": """
         WITH parents AS (
             SELECT 'products' AS target, id AS key, min(created_at) AS created_at FROM products GROUP BY ALL
