@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,20 +88,27 @@ def _plain_time(column: str | Column) -> Column:
     return F.regexp_replace(F.regexp_replace(trimmed(column), r"(?<=\d)T(?=\d)", " "), r"\s+", " ")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_date(column: str | Column) -> Column:
     """The first pattern that fits and names a real day, a time after it being dropped; null otherwise.
 
     Of a time with a zone, it is the day as written.
     """
-    text = _plain_time(column)
-    written = F.when(text.rlike(ISO_TIME) & _moment(text).isNotNull(), _day(F.substring(text, 1, 10)))
-    return F.coalesce(_day(text), written, _moment(text).cast("date"))
+
+    def read(text: Column) -> Column:
+        written = F.when(text.rlike(ISO_TIME) & _moment(text).isNotNull(), _day(F.substring(text, 1, 10)))
+        return F.coalesce(_day(text), written, _moment(text).cast("date"))
+
+    return _once(_plain_time(column), read)
 
 
 def parse_time(column: str | Column) -> Column:
     """A timestamp by the first pattern that fits, else a date's midnight; null otherwise."""
-    text = _plain_time(column)
-    return F.coalesce(_moment(text), _day(text).cast("timestamp"))
+    return _once(_plain_time(column), lambda text: F.coalesce(_moment(text), _day(text).cast("timestamp")))
 
 
 def first_filled(*columns: str | Column) -> Column:
@@ -149,6 +156,24 @@ def ci_element(payload: str | Column, name: str) -> Column:
     return F.when(F.lower(trimmed(value)) != "nan", value)
 
 
+def json_kind(column: str | Column) -> Column:
+    """array, object, string, number, boolean or null: what a JSON text holds; null where it is no JSON."""
+    kind = F.schema_of_variant(F.try_parse_json(_c(column)))
+    rules = [(kind.startswith("ARRAY"), "array"), (kind.startswith("OBJECT"), "object"), (kind == "STRING", "string"), (kind == "BOOLEAN", "boolean"), (kind == "VOID", "null")]
+    return first_rule(rules, F.when(kind.isNotNull(), F.lit("number")))
+
+
+def index_of(kind: str | Column, owner: str | Column) -> Column:
+    """The name of an index: kind and owner joined by @, in lower case."""
+    return F.lower(F.concat_ws("@", _c(kind), _c(owner)))
+
+
+def index_parts(name: str | Column) -> tuple[Column, Column]:
+    """Kind and owner of an index name; the owner is null where there is none."""
+    parts = F.split(_c(name), "@", 2)
+    return parts[0], F.try_element_at(parts, F.lit(2))
+
+
 def first_rule(rules: Sequence[tuple[Column, str | Column]], otherwise: str | Column) -> Column:
     """The value of the first rule whose condition holds; a null condition doesn't hold."""
     result = None

@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the limit of the sum of 1 / i², as ranks by frequency are scaled by it.
+FREQUENCY_LIMIT = 1.64493406685
+
 
 def tokens(column: str | Column) -> Column:
     """Lower-case words in their order; an empty array for null."""
@@ -81,6 +84,59 @@ def cover_density(token_array: Column, query: str) -> Column:
     return F.pandas_udf(rank, "float")(token_array)
 
 
+def frequency_rank(token_array: Column, query: str, weight: float = 0.1) -> Column:
+    """Rank of a plain query by frequency: for each term the sum of weight / i² over its occurrences i, scaled by that sum's limit, averaged over the terms."""
+    terms = query_terms(query)
+    if not terms:
+        return F.lit(0.0)
+
+    def score(term: str) -> Column:
+        times = F.size(F.filter(token_array, lambda t: t == term))
+        return F.when(times > 0, F.aggregate(F.sequence(F.lit(1), times), F.lit(0.0), lambda a, i: a + F.lit(1.0) / (i * i))).otherwise(0.0)
+
+    return reduce(lambda a, b: a + b, map(score, terms)) * weight / FREQUENCY_LIMIT / len(terms)
+
+
+def word_similarity_of(query: str, text: str | None) -> float:
+    """The greatest similarity of the query's trigrams to those of any stretch of the text's trigrams in their order.
+
+    A stretch of best similarity begins and ends at a shared trigram, so only
+    these are tried: the distinct trigrams inside are counted as it grows.
+    """
+    wanted = set(_trigrams_in_order(query))
+    grams = _trigrams_in_order(text or "")
+    shared = [i for i, g in enumerate(grams) if g in wanted]
+    best = 0.0
+    for n, start in enumerate(shared):
+        inside: set[str] = set()
+        common, at = 0, start
+        for stop in shared[n:]:
+            for g in grams[at : stop + 1]:
+                if g not in inside:
+                    inside.add(g)
+                    common += g in wanted
+            at = stop + 1
+            best = max(best, common / (len(wanted) + len(inside) - common))
+            if len(inside) > len(wanted) / max(best, 1e-9):
+                break  # longer ones can't be more alike
+    return best
+
+
+def _trigrams_in_order(text: str) -> list[str]:
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    return [p[i : i + 3] for p in (f"  {w} " for w in words) for i in range(len(p) - 2)]
+
+
+def word_similarity(column: str, query: str) -> Column:
+    """``word_similarity_of`` a query for a text column; 0 for null."""
+
+    def score(batch: pd.Series) -> pd.Series:
+        known: dict[str | None, float] = {}
+        return batch.map(lambda t: known[t] if t in known else known.setdefault(t, word_similarity_of(query, t))).astype("float64")
+
+    return F.pandas_udf(score, "double")(column)
+
+
 def trigrams(column: str | Column) -> Column:
     """Distinct letter trigrams of all words, each word with two blanks before and one after."""
     padded = F.transform(tokens(column), lambda w: F.concat(F.lit("  "), w, F.lit(" ")))

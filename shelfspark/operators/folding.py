@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import ast
 import json
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -49,6 +50,12 @@ def item_key(item: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(F.get_json_object(item, f"$['{k}']")), F.lit("")) for k in CODE_KEYS], item)
 
 
+def _as_json(item: Column) -> Column:
+    """An array's element as JSON again; text that is no JSON was a string."""
+    quoted = F.to_json(F.array(item))
+    return F.when(F.try_parse_json(item).isNotNull(), item).otherwise(F.substr(quoted, F.lit(2), F.length(quoted) - 2))
+
+
 def merge_items(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], items: str = "items") -> DataFrame:
     """One JSON array per key of both sides' items: of equal item codes the incoming one stays.
 
@@ -65,11 +72,34 @@ def merge_items(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], i
     w = Window.partitionBy(*keys, "code_").orderBy(F.desc("source_"), "place_")
     kept = code.withColumn("n_", F.row_number().over(w)).filter("n_ = 1")
     merged = kept.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("source_", "place_", "item_"))).alias("all_"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("all_", lambda s: s["item_"]), ","), F.lit("]"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("all_", lambda s: _as_json(s["item_"])), ","), F.lit("]"))
     every = rows.select(*keys).distinct()
     return every.join(merged.select(*keys, text.alias(items)), list(keys), "left").fillna("[]", [items])
 
 
+def item_of(fields: Mapping[str, Column]) -> Column:
+    """An item as JSON from the fields of a flat row, trimmed; null and blank ones are left out."""
+    return F.to_json(F.struct(*[F.nullif(F.trim(c), F.lit("")).alias(n) for n, c in fields.items()]))
+
+
+def append_unique(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], items: str = "items") -> DataFrame:
+    """One JSON array per key: the existing items, then incoming ones that differ from all before.
+
+    Items are compared by their canonical JSON (keys sorted), in which they are
+    also written. What is null, empty or no array has no items. Each item is one
+    row until the arrays are made, and equal ones of a key are combined before.
+    """
+    parts = []
+    for source, df in ((0, existing), (1, incoming)):
+        listed = F.from_json(F.col(items), "array<string>")
+        parts.append(df.select(*keys, F.lit(source).alias("source_"), F.posexplode_outer(listed).alias("place_", "item_")))
+    rows = parts[0].unionByName(parts[1])
+    once = rows.filter(F.col("item_").isNotNull()).withColumn("item_", lenient_json(_as_json(F.col("item_")))).groupBy(*keys, "item_").agg(F.min(F.struct("source_", "place_")).alias("first_"))
+    merged = once.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first_", "item_"))).alias("all_"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("all_", lambda s: s["item_"]), ","), F.lit("]"))
+    return rows.select(*keys).distinct().join(merged.select(*keys, text.alias(items)), list(keys), "left").fillna("[]", [items])
+
+
 def lenient_json(column: str | Column) -> Column:
     """JSON text of a value written as JSON, as a Python literal or with single quotes; null if none of these."""
 
@@ -79,10 +109,16 @@ def lenient_json(column: str | Column) -> Column:
     return F.pandas_udf(read, "string")(column)
 
 
+def _words(text: str) -> str:
+    """Python's words for nothing, true and false as JSON's, outside strings."""
+    words = {"None": "null", "True": "true", "False": "false"}
+    return re.sub(r'"(?:[^"\\]|\\.)*"|\b(?:None|True|False)\b', lambda m: words.get(m[0], m[0]), text)
+
+
 def _lenient(text: str | None) -> str | None:
     if not text or not text.strip():
         return None
-    for parse in (json.loads, ast.literal_eval, lambda t: json.loads(t.replace("'", '"'))):
+    for parse in (json.loads, ast.literal_eval, lambda t: json.loads(_words(t.replace("'", '"')))):
         try:
             return json.dumps(parse(text.strip()), ensure_ascii=False, sort_keys=True, default=str)
         except (ValueError, SyntaxError, TypeError, RecursionError, MemoryError):

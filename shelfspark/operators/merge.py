@@ -47,6 +47,35 @@ def delete_where(current: DataFrame, condition: Column) -> tuple[DataFrame, Data
     return current.filter(~goes), current.filter(goes)
 
 
+def delete_listed(current: DataFrame, listed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that stay, rows that go): those whose keys are listed go; a null key is listed nowhere."""
+    wanted = listed.select(*keys).distinct()
+    return current.join(wanted, list(keys), "left_anti"), current.join(wanted, list(keys), "left_semi")
+
+
+def delete_but(current: DataFrame, keepers: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that stay, rows that go): only those with a keeper's keys stay."""
+    goes, stays = delete_listed(current, keepers, keys)
+    return stays, goes
+
+
+def wipe_order(parents: Mapping[str, Sequence[str]]) -> list[str]:
+    """Tables in an order in which they can be emptied: children before the tables they refer to."""
+    done: list[str] = []
+
+    def visit(name: str, path: tuple[str, ...]) -> None:
+        if name in path:
+            raise ValueError(f"circular reference: {name}")
+        if name not in done:
+            for child in sorted(c for c, refs in parents.items() if name in refs):
+                visit(child, (*path, name))
+            done.append(name)
+
+    for name in sorted({*parents, *(r for refs in parents.values() for r in refs)}):
+        visit(name, ())
+    return done
+
+
 def with_missing_parents(parents: DataFrame, references: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Parents, and a bare row for each referenced key that has none."""
     wanted = references.select(*keys).dropna().distinct().join(parents.select(*keys), list(keys), "left_anti")

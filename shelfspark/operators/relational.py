@@ -63,6 +63,21 @@ def page(df: DataFrame, order: Sequence[Column], offset: int | None, limit: int
     return df.orderBy(*order).offset(max(offset or 0, 0)).limit(min(max(limit or most, 1), most))
 
 
+def page_info(df: DataFrame, order: Sequence[Column], offset: int | None, limit: int | None, most: int = 200) -> DataFrame:
+    """``page`` with total, has_more, next_offset (null on the last page) and previous_offset (null on the first)."""
+    at, size = max(offset or 0, 0), min(max(limit or most, 1), most)
+    total = df.select(F.count(F.lit(1))).scalar()
+    rows = page(df, order, at, size, most).withColumn("total", total)
+    more = F.col("total") > at + size
+    before = F.lit(max(at - size, 0) if at else None).cast("int")
+    return rows.withColumns({"has_more": more, "next_offset": F.when(more, F.lit(at + size)), "previous_offset": before})
+
+
+def chosen_order(choice: str | None, orders: Mapping[str, Sequence[Column]], otherwise: Sequence[Column]) -> Sequence[Column]:
+    """The order that a parameter names, ``otherwise`` for null and unknown names."""
+    return orders.get(choice or "", otherwise)
+
+
 def forward_fill(df: DataFrame, columns: Sequence[str], order: Sequence[str], within: Sequence[str]) -> DataFrame:
     """Nulls replaced by the last value before them, in ``order``, within the same ``within`` values.
 

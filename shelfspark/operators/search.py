@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import materialise
 from ..functions import text
 
 # How a product's number of chains adds to its rank.
@@ -35,9 +36,10 @@ def search_ranked(products: DataFrame, chains: DataFrame, query: str, name: str
 def two_stage_search(products: DataFrame, chains: DataFrame, query: str, least: int, similarity: float = 0.3) -> DataFrame:
     """``search_ranked`` and, if that finds fewer than ``least`` products, similar names that it left out.
 
-    Of the first stage only whether it has ``least`` rows comes to the driver.
+    The first stage is written to the shared folder, as it is counted, given and
+    left out of the second; only whether it has ``least`` rows comes to the driver.
     """
-    first = search_ranked(products, chains, query).withColumn("stage", F.lit("words"))
+    first = materialise(search_ranked(products, chains, query).withColumn("stage", F.lit("words")), "found")
     if first.limit(least).count() >= least:
         return first
     rest = products.join(first.select("id"), "id", "left_anti")

@@ -99,29 +99,37 @@ def array_with_places(spark, folder):
 
 
 @query("""WITH entries AS (SELECT chain_id, promotion_id, updated_at, unnest(map_entries(store_promotions), recursive := true) FROM promotions)
-    SELECT chain_id, promotion_id, key AS store_no, arg_max(value, updated_at) AS latest_value FROM entries WHERE value IS NOT NULL GROUP BY ALL HAVING count(*) = count(DISTINCT updated_at)""")
+    SELECT chain_id, promotion_id, key AS store_no, value AS latest_value FROM entries WHERE value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY chain_id, promotion_id, key ORDER BY updated_at DESC NULLS LAST, value DESC) = 1""")
 def map_merge(spark, folder):
+    """Map entries over all versions: the latest value of each key, of values at one time the greatest."""
     rows = table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at", "store_promotions")
     entries = rows.select("chain_id", "promotion_id", "updated_at", F.explode("store_promotions").alias("store_no", "value")).filter("value IS NOT NULL")
-    merged = entries.groupBy("chain_id", "promotion_id", "store_no").agg(F.max_by("value", "updated_at").alias("latest_value"), F.count(F.lit(1)).alias("n"), F.countDistinct("updated_at").alias("d"))
-    return merged.filter("n = d").drop("n", "d")
+    return entries.groupBy("chain_id", "promotion_id", "store_no").agg(F.max(F.struct("updated_at", "value"))["value"].alias("latest_value"))
 
 
 @query()
 def items_merge(spark, folder):
     """Items of each promotion's first version merged with those of its last."""
-    rows = table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at", "items").filter(F.col("items").rlike(r"^\s*\["))
+    rows = table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at", "items")
     keys = ["chain_id", "promotion_id"]
     first = relational.best_per_key(rows, keys, [F.asc("updated_at"), F.col("items")])
     last = relational.best_per_key(rows, keys, [F.desc("updated_at"), F.col("items")])
     return folding.merge_items(first, last, keys)
 
 
-@query()
+@query("""WITH turns AS (SELECT *, row_number() OVER (PARTITION BY chain_id, promotion_id ORDER BY updated_at NULLS FIRST, promotion_description NULLS FIRST, min_qty NULLS FIRST) AS turn FROM promotions),
+    scalars AS (SELECT chain_id, promotion_id, arg_min(promotion_description, turn) FILTER (trim(promotion_description) <> '') AS promotion_description, arg_min(min_qty, turn) FILTER (trim(min_qty) <> '') AS min_qty, coalesce(bool_or(is_weighted_promo), FALSE) AS is_weighted_promo, count(*) AS folded_rows FROM turns GROUP BY ALL),
+    entries AS (SELECT chain_id, promotion_id, turn, unnest(map_entries(store_promotions), recursive := true) FROM turns),
+    maps AS (SELECT chain_id, promotion_id, string_agg(key || '=' || coalesce(v, ''), ',' ORDER BY key) AS map_text FROM (SELECT chain_id, promotion_id, key, last(value ORDER BY turn) AS v FROM entries GROUP BY ALL) GROUP BY ALL),
+    stores AS (SELECT chain_id, promotion_id, string_agg(s, ',' ORDER BY s) AS store_text FROM (SELECT DISTINCT chain_id, promotion_id, unnest(available_in_store_ids) AS s FROM promotions) WHERE s IS NOT NULL GROUP BY ALL)
+    SELECT * FROM scalars LEFT JOIN maps USING (chain_id, promotion_id) LEFT JOIN stores USING (chain_id, promotion_id)""")
 def promotion_fold(spark, folder):
-    """All versions of a promotion folded into one row."""
-    rows = table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at", "promotion_description", "min_qty", "is_weighted_promo", "store_promotions", "available_in_store_ids")
-    return folding.fold_rows(rows, ["chain_id", "promotion_id"], "updated_at", ["promotion_description", "min_qty"], ["is_weighted_promo"], ["store_promotions"], ["available_in_store_ids"])
+    """All versions of a promotion folded into one row; maps and arrays shown as text."""
+    columns = ["chain_id", "promotion_id", "updated_at", "promotion_description", "min_qty", "is_weighted_promo", "store_promotions", "available_in_store_ids"]
+    rows = table(spark, folder, "promotions", *columns).withColumn("turn", F.struct("updated_at", "promotion_description", "min_qty"))
+    folded = folding.fold_rows(rows, ["chain_id", "promotion_id"], "turn", ["promotion_description", "min_qty"], ["is_weighted_promo"], ["store_promotions"], ["available_in_store_ids"])
+    pairs = F.transform(F.map_entries("store_promotions"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))
+    return folded.select("chain_id", "promotion_id", "promotion_description", "min_qty", "is_weighted_promo", "folded_rows", F.array_join(F.nullif(pairs, F.array().cast("array<string>")), ",").alias("map_text"), F.array_join("available_in_store_ids", ",").alias("store_text"))
 
 
 @query()
@@ -152,11 +160,21 @@ def search_ranked(spark, folder):
     return found.select("id", "chain_count", F.floor(F.col("search_rank") * 1000 + 0.5).alias("rank_e3"))
 
 
-@query()
+@query(r"""WITH words AS (SELECT id, item_name, coalesce(item_name, '') AS n, coalesce(manufacturer_name, '') AS m, list_filter(string_split_regex(lower(coalesce(item_name, '') || ' ' || coalesce(manufacturer_name, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w,
+        list_filter(string_split_regex(lower(coalesce(item_name, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS nw FROM products),
+    popular AS (SELECT product_id, count(DISTINCT s.chain_id) AS chains FROM product_prices p JOIN stores s ON s.id = p.store_id WHERE p.price IS NOT NULL GROUP BY product_id),
+    first_stage AS (SELECT id, len(list_filter(w, lambda t: t = 'שוקלד')) * CAST(0.1 AS DOUBLE) AS density FROM words WHERE list_contains(w, 'שוקלד') OR contains(lower(n), 'שוקלד') OR contains(lower(m), 'שוקלד')),
+    grams AS (SELECT DISTINCT id, substring('  ' || t || ' ', i, 3) AS g FROM (SELECT id, unnest(nw) AS t FROM words) x, range(1, 40) r(i) WHERE i <= length(t) + 1),
+    asked AS (SELECT DISTINCT substring('  ' || t || ' ', i, 3) AS g FROM (VALUES ('שוקלד')) q(t), range(1, 40) r(i) WHERE i <= length(t) + 1),
+    shared AS (SELECT id, count(*) FILTER (g IN (SELECT g FROM asked))::DOUBLE / (count(*) + (SELECT count(*) FROM asked) - count(*) FILTER (g IN (SELECT g FROM asked))) AS density FROM grams GROUP BY id),
+    second_stage AS (SELECT id, density FROM shared WHERE density >= 0.2 AND id NOT IN (SELECT id FROM first_stage) AND (SELECT count(*) FROM first_stage) < 5),
+    found AS (SELECT id, 'words' AS stage, density FROM first_stage UNION ALL SELECT id, 'similar', density FROM second_stage)
+    SELECT f.id, f.stage, coalesce(chains, 0) AS chain_count, CAST(floor((f.density + ln(1 + coalesce(chains, 0)) * CAST(0.2 AS DOUBLE) + least(coalesce(chains, 0), 20) * CAST(0.03 AS DOUBLE)) * 1000 + 0.5) AS BIGINT) AS rank_e3 FROM found f LEFT JOIN popular ON product_id = f.id""")
 def search_two_stage(spark, folder):
     """A misspelt query: too few hits by words, so similar names follow."""
     products = table(spark, folder, "products", "id", "item_code", "item_name", "manufacturer_name")
-    return search.two_stage_search(products, _chain_counts(spark, folder), "שוקלד חלב", 5, 0.2).select("id", "stage", "chain_count", "search_rank")
+    found = search.two_stage_search(products, _chain_counts(spark, folder), "שוקלד", 5, 0.2)
+    return found.select("id", "stage", "chain_count", F.floor(F.col("search_rank") * 1000 + 0.5).alias("rank_e3"))
 
 
 @query(r"""WITH words AS (SELECT id, list_filter(string_split_regex(lower(coalesce(item_name, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM products)
@@ -165,12 +183,14 @@ def search_web(spark, folder):
     return table(spark, folder, "products", "id", "item_name").filter(text.matches_web(text.tokens("item_name"), "שוקולד OR chocolate -מריר")).select("id")
 
 
-@query()
+@query(r"""WITH words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents)),
+    steps AS (SELECT doc_id, i, word, lag(word) OVER w AS before, lag(i) OVER w AS prev FROM words WHERE word IN ('price', 'lists') WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+    SELECT doc_id, CAST(floor(sum(CAST(0.1 AS DOUBLE) / (1 + (i - prev - 1))) * 10000 + 0.5) AS BIGINT) AS density_e4 FROM steps WHERE before <> word GROUP BY doc_id""")
 def search_cover_density(spark, folder):
     """Documents that hold both words, by cover density."""
     words = text.tokens("text")
     hits = table(spark, folder, "documents", "doc_id", "text").filter(text.matches_all(words, "price lists"))
-    return hits.select("doc_id", text.cover_density(words, "price lists").alias("density"))
+    return hits.select("doc_id", F.floor(text.cover_density(words, "price lists").cast("double") * 10000 + 0.5).alias("density_e4"))
 
 
 @query(r"""WITH words AS (SELECT id, list_filter(string_split_regex(lower(coalesce(item_name, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM products),
@@ -192,40 +212,55 @@ def table_profile(spark, folder):
     return profile.select("table_name", "row_count", F.unix_micros("first_at").alias("first_us"), F.unix_micros("last_at").alias("last_us"))
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    return streams.read_table_stream(spark, folder, "events", schema).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-
-
 def _us(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in columns})
 
 
+def _event_files(spark: SparkSession, folder: str, files: int = 40) -> DataFrame:
+    """The events as a stream of that many files, of which a trigger takes seven."""
+    rows = table(spark, folder, "events", "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    path = f"{checkpoint_root(spark)}/events-{uuid.uuid4().hex}"
+    rows.repartition(files, "event_id").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 7).parquet(path)
+
+
+def _closed(spark: SparkSession, events: DataFrame, windows: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """All windows of a stream in append mode: a last record far ahead moves the watermark, so each window closes and its state goes."""
+    path = f"{checkpoint_root(spark)}/last-{uuid.uuid4().hex}"
+    last = spark.createDataFrame([(-1, -1, "last")], "event_id long, user_id long, event_type string").withColumn("ts", F.lit("2100-01-01").cast("timestamp")).select(*events.columns)
+    last.limit(0).write.parquet(path)
+    both = events.unionByName(spark.readStream.schema(last.schema).parquet(path))
+    closed = streams.run_to_end(windows(both), name, "append", lambda: last.write.mode("append").parquet(path))
+    return _us(closed.filter("window_end < timestamp'2099-01-01'"), "window_start", "window_end")
+
+
 @query("""SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS window_start, epoch_us(time_bucket(INTERVAL 1 DAY, ts)) + 86400000000 AS window_end, event_type, count(*) AS events FROM events GROUP BY ALL""")
 def stream_tumbling(spark, folder):
-    return _us(streams.run_to_end(streams.window_counts(_events(spark, folder), "ts", ["event_type"], "1 day", late="60 days"), "tumbling", "complete"), "window_start", "window_end")
+    return _closed(spark, _event_files(spark, folder), lambda e: streams.window_counts(e, "ts", ["event_type"], "1 day", late="40 days"), "tumbling")
 
 
 @query("""SELECT epoch_us(s) AS window_start, epoch_us(s) + 172800000000 AS window_end, count(*) AS events FROM (SELECT unnest([time_bucket(INTERVAL 1 DAY, ts), time_bucket(INTERVAL 1 DAY, ts) - INTERVAL 1 DAY]) AS s FROM events) GROUP BY ALL""")
 def stream_sliding(spark, folder):
-    return _us(streams.run_to_end(streams.window_counts(_events(spark, folder), "ts", [], "2 days", "1 day", late="60 days"), "sliding", "complete"), "window_start", "window_end")
+    return _closed(spark, _event_files(spark, folder), lambda e: streams.window_counts(e, "ts", [], "2 days", "1 day", late="40 days"), "sliding")
 
 
 @query("""WITH marked AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS begins FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
     numbered AS (SELECT user_id, ts, sum(begins) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM marked)
     SELECT epoch_us(min(ts)) AS window_start, epoch_us(max(ts)) + 21600000000 AS window_end, user_id, count(*) AS events FROM numbered GROUP BY user_id, n""")
 def stream_session(spark, folder):
-    return _us(streams.run_to_end(streams.session_counts(_events(spark, folder), "ts", ["user_id"], "6 hours", late="60 days"), "session", "complete"), "window_start", "window_end")
+    return _closed(spark, _event_files(spark, folder), lambda e: streams.session_counts(e, "ts", ["user_id"], "6 hours", late="40 days"), "session")
 
 
 @query("SELECT user_id, event_type FROM events GROUP BY ALL")
 def stream_dedupe(spark, folder):
-    return streams.run_to_end(streams.without_repeats(_events(spark, folder).select("user_id", "event_type"), ["user_id", "event_type"]), "dedupe", "append")
+    """Each pair of user and kind once; what was seen is kept for forty days of event time."""
+    rows = streams.without_repeats(_event_files(spark, folder).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "40 days")
+    return streams.run_to_end(rows, "dedupe", "append").select("user_id", "event_type")
 
 
 @query("SELECT event_type AS file_name, count(*) AS total_records, FALSE AS late FROM events GROUP BY ALL")
 def stream_file_counts(spark, folder):
-    data = _events(spark, folder).select(F.col("event_type").alias("file_name"), F.lit(False).alias("is_end"))
+    data = _event_files(spark, folder).select(F.col("event_type").alias("file_name"), F.lit(False).alias("is_end"))
     batch = table(spark, folder, "events", F.col("event_type").alias("file_name")).distinct().withColumn("is_end", F.lit(True))
     ends = f"{checkpoint_root(spark)}/ends-{uuid.uuid4().hex}"
     batch.limit(0).write.parquet(ends)

@@ -99,6 +99,18 @@ def unseen_files(names: DataFrame, ledger: DataFrame, column: str = "file_name")
     return names.join(ledger.select(column).distinct(), column, "left_anti")
 
 
+def latest_files(names: DataFrame, part: str = "", column: str = "file_name") -> DataFrame:
+    """feed and latest: of the files whose name holds ``part``, the greatest name of each feed, a name's text before its last hyphen."""
+    return names.filter(F.contains(column, F.lit(part))).groupBy(F.regexp_replace(column, "-[^-]*$", "").alias("feed")).agg(F.max(column).alias("latest"))
+
+
+def ledger_or(spark: SparkSession, cache: str, otherwise: DataFrame) -> DataFrame:
+    """The cached ledger of processed files, or another table where there is no cache yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(cache)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(otherwise.schema).parquet(cache) if there else otherwise
+
+
 def table_profile(tables: Mapping[str, DataFrame], at: Mapping[str, str]) -> DataFrame:
     """table_name, row_count, first_at and last_at of the time column named for each table."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"), F.min(at[n]).alias("first_at"), F.max(at[n]).alias("last_at")).select(F.lit(n).alias("table_name"), "row_count", "first_at", "last_at") for n, df in tables.items()]

@@ -36,7 +36,7 @@ def session_counts(events: DataFrame, at: str, keys: Sequence[str], gap: str, la
 
 
 def without_repeats(rows: DataFrame, keys: Sequence[str], at: str | None = None, late: str = "1 day") -> DataFrame:
-    """Rows once per ``keys``; with ``at``, repeats are remembered for ``late`` only."""
+    """Rows once per ``keys``; with ``at``, repeats are remembered for ``late`` only. Without it every key is kept in the state for ever."""
     return rows.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys)) if at else rows.dropDuplicates(list(keys))
 
 
@@ -46,13 +46,25 @@ def data_records(records: DataFrame, value: str = "value") -> DataFrame:
     return records.filter(kind.isNull() | ~kind.isin(*CONTROL))
 
 
+def bounded_records(records: DataFrame, order: str, most: int = 1_000, value: str = "value") -> DataFrame:
+    """The first ``most`` data records in ``order`` (batch): without control records, equal contents once, by their first."""
+    once = data_records(records, value).groupBy(value).agg(F.min(order).alias(order))
+    return once.orderBy(order).limit(most)
+
+
+def refresh_due(last: float | None, now: float, minutes: float) -> bool:
+    """Whether upkeep is due: never done yet, or ``minutes`` ago or longer (times in seconds)."""
+    return last is None or now - last >= 60 * minutes
+
+
 def file_counts(rows: DataFrame, file: str = "file_name", marker: str = "is_end") -> DataFrame:
     """One row per file when its end marker comes: the number of its data rows so far.
 
     All data rows of the marker's trigger count, wherever the marker stands
     among them, so a source must not give a marker in an earlier trigger than
     data that belong before it. Rows of later triggers are counted as late and
-    reported by further rows. Each file's state is two numbers.
+    reported by further rows. Each file's state is two numbers, kept for as long
+    as the stream runs, since a late row may come at any time.
     """
     schema = f"{file} string, total_records long, late boolean"
 
