@@ -10,7 +10,7 @@ from ..sources.tables import table
 from .canonical import map_to_reference
 from .linkage import item_groups, same_item_pairs, same_items
 from .leakage import leaked_items
-from .mixing import actual_shares, chosen_repeats, distinct_texts, source_rates
+from .mixing import SEED, actual_shares, chosen_repeats, distinct_texts, emitted, source_rates
 from .mojibake import garbled_documents
 from .topn import top_items
 
@@ -58,8 +58,15 @@ def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
-    """The chosen texts with their number of copies."""
-    return _mixture(spark, folder)[1]
+    """The mixture: each chosen text as often as it is used."""
+    return emitted(table(spark, folder, "documents", "doc_id", "text"), _mixture(spark, folder)[1])
+
+
+def p9_by_characters(spark: SparkSession, folder: str) -> DataFrame:
+    """The chosen texts and their copies when texts are measured by their characters, as SQL can do it."""
+    targets = table(spark, folder, "mix_targets")
+    texts = distinct_texts(table(spark, folder, "documents", "doc_id", "text", "source"), targets, size=F.length("text").cast("bigint"))
+    return chosen_repeats(texts, source_rates(texts, targets)).select("doc_id", "source_name", F.col("tokens").alias("characters"), "copies")
 
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,9 +78,19 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_documents(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_items, p3_found, p4_found, p8_found, p9_mixture, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_items, p3_found, p4_found, p8_found, p9_mixture, p9_by_characters, p9_shares, p10_found)}
 
 SQL = {
+    "p9_by_characters": rf"""
+        WITH goals AS (SELECT lower(trim(source)) AS source_name, sum(target_share) AS target_share, min(max_repeats) AS max_repeats FROM mix_targets WHERE source IS NOT NULL GROUP BY ALL),
+        rows AS (SELECT doc_id, md5(text) AS h, lower(regexp_replace(source, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g')) AS source_name, length(text) AS characters FROM documents WHERE regexp_matches(text, '[^\s\x{{a0}}]')),
+        texts AS (SELECT min(doc_id) AS doc_id, arg_min(source_name, doc_id) AS source_name, arg_min(characters, doc_id) AS characters FROM rows WHERE source_name IN (SELECT source_name FROM goals) GROUP BY h),
+        sizes AS (SELECT source_name, sum(characters)::DOUBLE AS available FROM texts GROUP BY ALL),
+        usable AS (SELECT source_name, target_share, max_repeats, available FROM goals JOIN sizes USING (source_name) WHERE available > 0 AND target_share > 0),
+        whole AS (SELECT sum(target_share) AS shares, min(max_repeats * available / target_share) AS feasible FROM usable),
+        rates AS (SELECT source_name, least(target_share / shares * (feasible * shares) / available, max_repeats::DOUBLE) AS rate FROM usable, whole),
+        drawn AS (SELECT t.*, rate, CAST('0x' || substring(md5('{SEED}:' || doc_id), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496 AS draw FROM texts t JOIN rates USING (source_name))
+        SELECT doc_id, source_name, characters, CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS INTEGER) AS copies FROM drawn WHERE floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END > 0""",
     "p4_found": """
         WITH candidates AS (
             SELECT 'top_promotions_cache' AS cache_table, concat_ws('|', window_hours, scope_type, city, chain_id, store_id) AS group_key,

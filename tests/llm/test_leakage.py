@@ -100,3 +100,26 @@ def test_rows(spark):
         assert sorted((tuple(r) for r in found.distinct().collect()), key=str) == [(1, 1), (4, 1), (None, 1)]
     assert leaked_items(documents.limit(0), "doc_id", "text", items, "item_id", "text").collect() == []
     assert leaked_items(documents, "doc_id", "text", items.limit(0), "item_id", "text").collect() == []
+
+
+def test_many_items_by_join_equal_the_broadcast(spark):
+    random.seed(11)
+    vocabulary = [f"v{i}" for i in range(40)]
+    items = [(i // 2, " ".join(random.choice(vocabulary) for _ in range(random.randrange(8, 60)))) for i in range(60)]
+    documents = []
+    for n in range(120):
+        words = random.choice(items)[1].split()
+        at, length = random.randrange(len(words)), random.randrange(8, 40)
+        piece = [random.choice([w] * 12 + ["zz"]) for w in words[at : at + length]]
+        documents.append((n, " ".join([*random.choices(vocabulary, k=6), *piece, *random.choices(vocabulary, k=6)])))
+    docs, rows = spark.createDataFrame([*documents, (999, None), (998, "")], "doc_id long, text string"), spark.createDataFrame([*items, (7, None)], "item_id long, text string")
+    few, many = ({tuple(r) for r in leaked_items(docs, "doc_id", "text", rows, "item_id", "text", block=block).collect()} for block in (1_000, 5))
+    assert few == many and len(few) > 20
+    sizes = [(12, 1), (20, 2)]
+    expected = {(d, i) for d, t in documents for i, w in items if any(least_distance(w.split()[a : a + n], t.split()) <= k for n, k in sizes for a in range(len(w.split()) - n + 1))}
+    assert few == expected
+
+
+def test_texts_of_one_id_are_all_searched():
+    held = Items([(1, " ".join(ITEM)), (1, " ".join(ITEM[::-1])), (2, " ".join(ITEM))])
+    assert held.leaked(" ".join(ITEM[:15])) == {1, 2} and held.leaked(" ".join(ITEM[::-1][:15])) == {1}

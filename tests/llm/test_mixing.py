@@ -1,7 +1,7 @@
 import pytest
 
-from shelfspark.llm import mixing
-from shelfspark.llm.mixing import actual_shares, chosen_repeats, distinct_texts, source_rates
+from shelfspark.llm import mixing, queries
+from shelfspark.llm.mixing import actual_shares, chosen_repeats, distinct_texts, emitted, source_rates
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +70,21 @@ def test_empty_tables(tables):
     texts = distinct_texts(documents.limit(0), targets)
     assert {r["rate"] for r in source_rates(texts, targets).collect()} == {0.0}
     assert source_rates(texts, targets.limit(0)).collect() == []
+
+
+def test_shares_stay_within_the_tolerance(tables, spark, data):
+    _, _, found = shares(tables)
+    assert all(abs(r["actual_share"] - r["expected_share"]) <= r["tolerance"] + 1e-9 for r in found.values())
+    assert found["small"]["expected_share"] == pytest.approx(0.2 / 0.9)
+    real = queries.QUERIES["p9_shares"](spark, data.replace("sf0.001", "sf0.01")).collect()
+    assert all(abs(r["actual_share"] - r["expected_share"]) <= r["tolerance"] + 1e-9 for r in real) and sum(r["tolerance"] > 0 for r in real) > 3
+
+
+def test_copies_are_emitted(tables):
+    documents, targets = tables
+    _, chosen, _ = shares(tables)
+    rows = emitted(documents, chosen).collect()
+    assert len(rows) == sum(r["copies"] for r in chosen.collect())
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    assert all(r["text"] == texts[r["doc_id"]] for r in rows) and max(r["copy_no"] for r in rows) == 4
+    assert emitted(documents.limit(0), chosen).count() == 0
