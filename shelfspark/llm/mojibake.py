@@ -1,12 +1,16 @@
 """Text read in a wrong character encoding: finding it and restoring the original.
 
 Two stages, both on whole texts. UTF-8 read as another encoding leaves
-sequences of two to four characters that mean nothing else: they are
-precomputed for all characters and encodings and found by one multi-pattern
-automaton, over and over while they give new ones (text garbled twice). One-byte
-encodings read as one another leave single characters, which may be right
-elsewhere: these are weighed by how natural they and their replacements are
-beside their neighbours, and only stretches that gain clearly are replaced.
+sequences of two to four characters: their beginnings (lead and next character)
+are precomputed for all encodings and found by one multi-pattern automaton; the
+rest of a sequence is read by the encoding's own table, so every character of
+Unicode is covered. A stretch in which all characters beyond ASCII belong to
+such sequences, two of them or more, is replaced on that evidence alone, over
+and over while it gives new ones (text garbled several times). Only a lone
+sequence is weighed by how natural it is. One-byte encodings read as one another
+leave single characters, which may be right elsewhere: these are weighed by how
+natural they and their replacements are beside their neighbours, and only
+stretches that gain clearly are replaced.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -30,9 +35,6 @@ LOST = "�"
 # Encodings in which texts of these languages are stored or wrongly read.
 READ_AS = ["cp1252", "latin-1", "cp1255", "cp1251", "mac_roman", "cp437", "cp850", "cp862", "cp866", "koi8_r"]
 ONE_BYTE = ["cp1255", "cp862", "cp1251", "koi8_r", "cp866", "cp1252", "mac_roman"]
-# Code points that texts of these languages may hold.
-ALPHABET = [(0x80, 0x17F), (0x192, 0x192), (0x2C6, 0x2DC), (0x391, 0x3C9), (0x401, 0x45F), (0x490, 0x491), (0x5B0, 0x5F4), (0x600, 0x652), (0x2000, 0x206F), (0x20A0, 0x20BF), (0x2100, 0x2122), (0x2150, 0x215F), (0x2190, 0x21FF), (0x2200, 0x22FF), (0x2300, 0x2321), (0x2500, 0x25FF), (0x2600, 0x27BF), (0xFB01, 0xFB4F), (0xFF01, 0xFF5E), (0x1F300, 0x1FAFF)]
-
 # Letter statistics come from these plain sentences.
 HEBREW = """
 היום הלכנו אל השוק כדי לקנות ירקות ופירות טריים לשבת. המחיר של העגבניות עלה מאוד בשבוע האחרון, אבל המוכר נתן לנו הנחה קטנה.
@@ -70,24 +72,40 @@ def _read(code: bytes, encoding: str) -> str:
 
 
 @lru_cache(maxsize=len(READ_AS))
-def _sequences(encoding: str) -> dict[str, str]:
-    """Garbled sequences of UTF-8 text read as ``encoding``, with the character each stands for."""
-    return {_read(chr(p).encode(), encoding): chr(p) for low, high in reversed(ALPHABET) for p in range(low, high + 1)}
+def _bytes_of(encoding: str) -> dict[str, int]:
+    """The byte that each character beyond ASCII was read from."""
+    return {_read(bytes([b]), encoding): b for b in range(0x80, 0x100)}
+
+
+# Lead bytes of sequences of two, three and four bytes in UTF-8.
+LEADS = {2: range(0xC2, 0xE0), 3: range(0xE0, 0xF0), 4: range(0xF0, 0xF5)}
 
 
 @lru_cache(maxsize=1)
 def _automaton() -> ahocorasick.Automaton:
-    """All garbled sequences of all encodings in one automaton."""
+    """The first two characters of the garbled sequences of all encodings in one automaton."""
     machine, readings = ahocorasick.Automaton(), {}
     for encoding in READ_AS:
-        for sequence, char in _sequences(encoding).items():
-            readings.setdefault(sequence, []).append((encoding, char))
-    for sequence, held in readings.items():
-        machine.add_word(sequence, (len(sequence), held))
+        for length, leads in LEADS.items():
+            for lead in leads:
+                for following in range(0x80, 0xC0):
+                    readings.setdefault(_read(bytes([lead, following]), encoding), []).append((encoding, length))
+    for beginning, held in readings.items():
+        machine.add_word(beginning, held)
     machine.make_automaton()
     return machine
 
 
+def _sequence(word: str, start: int, length: int, encoding: str) -> str | None:
+    """The character that a garbled sequence stands for; None if it isn't one, or none that texts hold."""
+    held = _bytes_of(encoding)
+    try:
+        char = bytes(held[c] for c in word[start : start + length]).decode("utf-8")
+    except (KeyError, UnicodeDecodeError):
+        return None
+    return char if len(char) == 1 and char > "\x7f" and unicodedata.category(char) not in ("Cn", "Co", "Cs") else None
+
+
 @lru_cache(maxsize=1)
 def _bigrams() -> dict[str, dict[tuple[str, str], float]]:
     """For Hebrew and Russian: log of a letter's chance after another against an even one."""
@@ -195,8 +213,8 @@ def natural(word: str) -> float:
 
 
 @lru_cache(maxsize=1)
-def _pairs() -> list[tuple[str, str, dict[int, str]]]:
-    """(true, wrong, table from garbled characters to true ones) of all one-byte pairs."""
+def _pairs() -> list[tuple[str, str, dict[int, str], frozenset[int]]]:
+    """(true, wrong, table from garbled characters to true ones, these characters) of all one-byte pairs."""
     found, wanted = [], lambda c: c.isprintable() or c in " ‎‏­"
     for true in ONE_BYTE:
         for wrong in READ_AS:
@@ -211,7 +229,7 @@ def _pairs() -> list[tuple[str, str, dict[int, str]]]:
                 seen = _read(bytes([b]), wrong)
                 if wanted(char) and char >= "\x80":
                     table[ord(seen)] = char
-            found.append((true, wrong, table))
+            found.append((true, wrong, table, frozenset(table)))
     return found
 
 
@@ -222,6 +240,7 @@ LEAST_GAIN_FROM_NONSENSE = 2.2
 LEAST_LETTERS = 6
 LEAST_WORDS_AMONG_LETTERS = 3
 SEQUENCE_BONUS = 3.0
+COVERED_BONUS = 6.0
 CERTAIN_GAIN = 4.0
 LEAST_SEQUENCE_GAIN = 1.2
 LEAST_GAIN_PER_CHARACTER = 0.45
@@ -276,32 +295,34 @@ def _apply(text: str, words: list[tuple[int, int]], options: list[tuple[float, i
 
 
 @lru_cache(maxsize=200_000)
-def _decoded(word: str) -> dict[str, str]:
-    """Readings of a word with garbled UTF-8 sequences, by encoding; the longest sequence at each place."""
-    hits: dict[str, list[tuple[int, int, str]]] = {}
-    for end, (n, held) in _automaton().iter(word):
-        for encoding, char in held:
-            hits.setdefault(encoding, []).append((end - n + 1, end + 1, char))
-    readings = {}
-    for encoding, spans in hits.items():
-        out, at = [], 0
-        for start, end, char in sorted(spans, key=lambda s: (s[0], -s[1])):
-            if start >= at:
-                out += [word[at:start], char]
-                at = end
-        readings[encoding] = "".join([*out, word[at:]])
-    return readings
+def _decoded(word: str) -> dict[str, tuple[str, int, bool]]:
+    """Readings of a word with garbled UTF-8 sequences, by encoding: the word, the number of its sequences that are no plain letters, and whether all of it beyond ASCII is in sequences.
+
+    Letters alone can be a word: in one encoding Russian words are sequences.
+    """
+    found: dict[str, list] = {}
+    for end, held in _automaton().iter(word):
+        start = end - 1
+        for encoding, length in held:
+            reading = found.setdefault(encoding, [[], 0, 0, 0])  # parts, place reached, sequences, their characters
+            if start >= reading[1] and (char := _sequence(word, start, length, encoding)) is not None:
+                reading[0] += [word[reading[1] : start], char]
+                reading[1:] = [start + length, reading[2] + (not word[start : start + length].isalpha()), reading[3] + length]
+    high = sum(c >= "\x80" for c in word)
+    return {e: ("".join([*parts, word[at:]]), n, covered == high) for e, (parts, at, n, covered) in found.items() if parts}
 
 
 def _sequence_options(held: list[str]) -> list[tuple[float, int, int, list[str]]]:
-    """Stretches with garbled UTF-8 sequences, garbled once or up to three times over."""
+    """Stretches with garbled UTF-8 sequences, garbled any number of times over."""
     options = []
     for encoding in {e for w in held if not w.isascii() for e in _decoded(w)}:
         new = held
-        for _ in range(3):
-            before, new = new, [w if w.isascii() else _decoded(w).get(encoding, w) for w in new]
-            if new == before:
+        while True:  # each layer makes the text shorter, so this ends
+            layer = [None if w.isascii() else _decoded(w).get(encoding) for w in new]
+            if not any(layer):
                 break
+            options += _covered(new, layer) if new is held else []
+            new = [w if x is None else x[0] for w, x in zip(new, layer)]
             gain = [0.0 if x == y else natural(x) - natural(y) for x, y in zip(new, held)]
             segments = _segments(gain)
             if any(s >= CERTAIN_GAIN for s, _, _ in segments):  # then all its other sequences are garbled too
@@ -312,38 +333,81 @@ def _sequence_options(held: list[str]) -> list[tuple[float, int, int, list[str]]
     return options
 
 
+def _covered(held: list[str], layer: list[tuple[str, int, bool] | None]) -> list[tuple[float, int, int, list[str]]]:
+    """Stretches of words of which all that is beyond ASCII is in sequences, with two of them or more that are no plain letters: different ones, or longer than two characters."""
+    new = [w if x is None else x[0] for w, x in zip(held, layer)]
+    options, first, last, sequences, kinds = [], None, None, 0, set()
+    for i, (w, x) in enumerate([*zip(held, layer), ("\x80", None)]):
+        if x is not None and x[2] and (x[1] or {_kind(c) for c in w if c.isalpha()} not in ({"c"}, {"h"})):  # else it may be a word
+            first, last = i if first is None else first, i
+            sequences += x[1]
+            kinds.add(w)
+        elif not w.isascii():
+            if first is not None and sequences >= 2 and (len(kinds) > 1 or sequences > 2 or any(len(k) - len(_stated(k, layer, held)) > 1 for k in kinds)):
+                options.append((COVERED_BONUS + 2.0 * sequences + 0.01 * sum(natural(v) for v in new[first : last + 1]), first, last, new))
+            first, last, sequences, kinds = None, None, 0, set()
+    return options
+
+
+def _stated(word: str, layer: list[tuple[str, int, bool] | None], held: list[str]) -> str:
+    return next(x[0] for w, x in zip(held, layer) if w == word and x is not None)
+
+
 def _in_order(words: list[str]) -> bool:
     return sum(map(natural, words)) >= -0.5 * sum(c >= "\x80" for w in words for c in w)
 
 
+@lru_cache(maxsize=300_000)
+def _high(word: str) -> frozenset[int]:
+    """Code points beyond ASCII."""
+    return frozenset(ord(c) for c in word if c >= "\x80")
+
+
+@lru_cache(maxsize=500_000)
+def _read_as(pair: int, word: str) -> tuple[str, float] | None:
+    """A word as a pair reads it and what it gains; None if the pair doesn't have all its characters."""
+    _, _, table, keys = _pairs()[pair]
+    if not _high(word) <= keys:
+        return None
+    new = word.translate(table)
+    return new, natural(new) - natural(word)
+
+
+@lru_cache(maxsize=300_000)
+def _scripts(word: str) -> dict[str, int]:
+    """How many letters beyond ASCII are Hebrew and Cyrillic."""
+    return dict(Counter(k for c in word if c >= "\x80" and (k := _kind(c)) in "hc"))
+
+
 def _byte_options(held: list[str], ends: list[bool]) -> list[tuple[float, int, int, list[str]]]:
     """Stretches that gain by another one-byte encoding."""
     suspects = {w: x for w in held if not w.isascii() and (x := _suspect(w)) < 0}
     if sum(suspects.get(w, 0.0) for w in held) > -1.9:
         return []
-    chars = {ord(c) for w in held for c in w if c >= "\x80"}
-    scripts = Counter(k for w in held for c in w if c >= "\x80" and (k := _kind(c)) in "hc")
+    odd = [(i, w) for i, w in enumerate(held) if not w.isascii()]
+    chars = sorted(frozenset().union(*(_high(w) for _, w in odd)))
+    times = Counter(w for _, w in odd)
+    scripts: Counter = Counter()
+    for w, n in times.items():
+        for k, c in _scripts(w).items():
+            scripts[k] += n * c
     main = max(scripts, key=scripts.get) if scripts and max(scripts.values()) >= 0.6 * scripts.total() else None
     options, seen = [], set()
-    for _, _, table in _pairs():
-        here = frozenset((c, table[c]) for c in chars & table.keys())
-        if not here or here in seen:
+    for pair, (_, _, table, _) in enumerate(_pairs()):
+        here = tuple(map(table.get, chars))
+        if here in seen:
             continue  # as another pair reads this text
         seen.add(here)
-        readable = [w for w in suspects if all(c < "\x80" or ord(c) in table for c in w)]
-        if not any(natural(w.translate(table)) - natural(w) >= 1.0 for w in readable):
-            continue  # the right reading makes some odd word clearly more natural
-        new, gain = [], []
-        for w in held:
-            if w.isascii():
-                new.append(w)
-                gain.append(0.0)
-            elif any(c >= "\x80" and ord(c) not in table for c in w):
-                new.append(w)
-                gain.append(None)
+        readings = {w: _read_as(pair, w) for w in times}
+        rises = sum(n * r[1] for w, n in times.items() if (r := readings[w]) is not None and r[1] > 0)
+        if rises < (LEAST_GAIN_FROM_NONSENSE if len(scripts) < 2 else 1e-9):
+            continue  # no stretch can gain enough; only beside letters of two scripts less than the least gain may do
+        new, gain = list(held), [0.0] * len(held)
+        for i, w in odd:
+            if (reading := readings[w]) is None:
+                gain[i] = None
             else:
-                new.append(w.translate(table))
-                gain.append(natural(new[-1]) - natural(w))
+                new[i], gain[i] = reading
         for s, a, b in _widened(gain, _segments(gain, 8.0), new, ends):
             pairs = [(x, y) for k in range(a, b + 1) for x, y in zip(held[k], new[k]) if x != y]
             if len(pairs) < LEAST_LETTERS and any(_kind(y) in "hc" for _, y in pairs):
@@ -444,15 +508,13 @@ def restore(text: str | None) -> str | None:
         return None
     if LOST in text:
         return ""
-    done = text
-    for _ in range(4):
+    done, seen = text, set()
+    while done not in seen:  # until nothing changes any more
+        seen.add(done)
         words = [m.span() for m in _WORD.finditer(done)]
         held = [done[a:b] for a, b in words]
         ends = [done[b - 1] in ".!?" or "\n" in done[b:c] for (_, b), (c, _) in zip(words, words[1:])] + [True]
-        again = _apply(done, words, _sequence_options(held) + _byte_options(held, ends))
-        if again == done:
-            break
-        done = again
+        done = _apply(done, words, _sequence_options(held) + _byte_options(held, ends))
     return None if done == text else done
 
 

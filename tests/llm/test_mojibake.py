@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from shelfspark.llm.mojibake import LOST, _read, garbled_documents, restore
+from shelfspark.llm.mojibake import LOST, ONE_BYTE, READ_AS, _read, garbled_documents, restore
 
 HE = "התווית על המדף הראתה 4.70 ש״ח, אבל בקופה חויבתי ₪55.69 על אותו קמח כפרי. לקראת החג מציגה הרשת 56 פריטים, מחציתם ללא הנחה אמיתית."
 RU = "На ценнике было 78.95 шек., а на кассе пробили 14.20 шек. за товар. Доставка опоздала на 18 минут, и мороженое растаяло. Жаль, больше не придём."
@@ -47,6 +47,50 @@ def test_hebrew_beside_latin_stays(text):
     assert restore(text) is None
 
 
+OTHERS = ["Zażółć gęślą jaźń, proszę o źródło żółtej książki.", "Καλημέρα κόσμε τι κάνεις σήμερα, όλα καλά;", "Țara mea și științele, în județul Brașov, câți ani.", "今天天气很好，我们去公园散步。", "สวัสดีครับ วันนี้อากาศดี", "お元気ですか。カタカナと漢字。"]
+
+
+@pytest.mark.parametrize("text", OTHERS)
+@pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "cp1251", "cp1255", "cp437", "koi8_r", "mac_roman", "cp850", "cp866", "cp862"])
+def test_characters_of_all_scripts_by_their_sequences(text, wrong):
+    bad = garble(text, "utf-8", wrong)
+    assert restore(bad) == text and restore(text) is None
+    assert restore(f"Clean words. {bad} End, naïve.\n{HE}\n{RU}") == f"Clean words. {text} End, naïve.\n{HE}\n{RU}"
+
+
+def test_russian_words_that_are_sequences_of_one_encoding_stay():
+    assert restore("почему день клуба только для членов клуба, только только тем только") is None
+
+
+@pytest.mark.parametrize("layers", range(1, 7))
+def test_garbled_many_times(layers):
+    for text in (HE, FR, OTHERS[1]):
+        bad = text
+        for _ in range(layers):
+            bad = garble(bad, "utf-8", "cp1252")
+        assert restore(bad) == text
+
+
+def test_snippets_of_all_one_byte_pairs_come_back():
+    random.seed(1)
+    tried = found = 0
+    for text in (HE, RU, FR, EN):
+        words = text.split()
+        for true in ONE_BYTE:
+            for wrong in READ_AS:
+                for length in (3, 6, 12):
+                    at = random.randrange(len(words) - length + 1)
+                    snippet = " ".join(words[at : at + length])
+                    try:
+                        bad = garble(snippet, true, wrong)
+                    except UnicodeEncodeError:
+                        continue
+                    if bad != snippet:
+                        tried += 1
+                        found += restore(bad) == snippet
+    assert tried > 200 and found >= 0.8 * tried
+
+
 def test_twice_garbled():
     for text in (HE, FR, EN):
         assert restore(garble(garble(text, "utf-8", "cp1252"), "utf-8", "cp1252")) == text
