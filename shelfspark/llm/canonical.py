@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NO_ENTRY = -1
+SHORT_FORM = 0.25
 MAX_BROADCAST_ENTRIES = 5_000
 
 # Words that are no part of a name, for places and companies.
@@ -128,19 +129,21 @@ class Dictionary:
     def find(self, value: str) -> int:
         """The entry closest to ``value``, or -1.
 
-        Full names come first, in any order of words and also written backwards;
-        then short forms that name one entry; then names within the allowed
-        edits, by weighted distance, the entry's frequency and its number.
+        All candidates are ranked by weighted distance, the entry's frequency
+        and its number. A full name in any order of words, or written backwards,
+        has distance 0; a short form that belongs to one entry alone
+        ``SHORT_FORM``, less than any edit; other names the distance of their
+        edits, within those allowed. Where a distance is reached that no later
+        candidate can fall below, these are not looked up.
         """
         forms = full_forms(value)
-        for form in forms:
-            if hit := self.keys.get(form):
-                return self._most_frequent(hit)
+        if exact := {ref for form in forms for ref in self.keys.get(form, ())}:
+            return self._most_frequent(exact)
         words = _without_noise(plain_words(value))
-        for key in (" ".join(words), " ".join(w[::-1].translate(_FINALS) for w in words[::-1])):
-            if (hit := self.short.get(key)) and len(hit) == 1:
-                return next(iter(hit))
-        ranked = []
+        short = (" ".join(words), " ".join(w[::-1].translate(_FINALS) for w in words[::-1]))
+        ranked = [(SHORT_FORM, -self.entries[ref].frequency, ref) for key in short if len(hit := self.short.get(key, set())) == 1 for ref in hit]
+        if ranked:
+            return min(ranked)[2]
         for form in forms:
             most = edits_allowed(form)
             for k in deletions(form, most):
