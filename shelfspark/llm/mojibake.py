@@ -315,7 +315,8 @@ def _decoded(word: str) -> dict[str, tuple[str, int, bool]]:
 def _sequence_options(held: list[str]) -> list[tuple[float, int, int, list[str]]]:
     """Stretches with garbled UTF-8 sequences, garbled any number of times over."""
     options = []
-    for encoding in {e for w in held if not w.isascii() for e in _decoded(w)}:
+    found = {e for w in held if not w.isascii() for e in _decoded(w)}
+    for encoding in (e for e in READ_AS if e in found):
         new = held
         while True:  # each layer makes the text shorter, so this ends
             layer = [None if w.isascii() else _decoded(w).get(encoding) for w in new]
@@ -344,11 +345,17 @@ def _covered(held: list[str], layer: list[tuple[str, int, bool] | None]) -> list
             kinds.add(w)
         elif not w.isascii():
             if first is not None and sequences >= 2 and (len(kinds) > 1 or sequences > 2 or any(len(k) - len(_stated(k, layer, held)) > 1 for k in kinds)):
-                options.append((COVERED_BONUS + 2.0 * sequences + 0.01 * sum(natural(v) for v in new[first : last + 1]), first, last, new))
+                options.append((COVERED_BONUS + 2.0 * sequences + 0.01 * sum(natural(v) - 5 * _rises(v) for v in new[first : last + 1]), first, last, new))
             first, last, sequences, kinds = None, None, 0, set()
     return options
 
 
+@lru_cache(maxsize=100_000)
+def _rises(word: str) -> int:
+    """Capitals after small letters: of readings that cover as much, the one with fewer is right."""
+    return sum(a.islower() and b.isupper() for a, b in zip(word, word[1:]))
+
+
 def _stated(word: str, layer: list[tuple[str, int, bool] | None], held: list[str]) -> str:
     return next(x[0] for w, x in zip(held, layer) if w == word and x is not None)
 
