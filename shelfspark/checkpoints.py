@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from weakref import WeakKeyDictionary
@@ -13,7 +15,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``.
 
     Only where the session names none and runs in one local JVM (tests, small
-    runs) is a folder of this machine used; on a cluster that is an error.
+    runs) is a folder of this machine used, which goes at its end; on a cluster
+    that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -21,7 +24,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = "file://" + tempfile.mkdtemp(prefix="shelfspark-")
+    held = tempfile.mkdtemp(prefix="shelfspark-")
+    atexit.register(shutil.rmtree, held, ignore_errors=True)
+    root = "file://" + held
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 

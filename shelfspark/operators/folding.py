@@ -45,9 +45,14 @@ def map_concat_right(left: Column, right: Column) -> Column:
     return F.map_concat(F.map_filter(a, lambda k, v: ~F.map_contains_key(b, k)), b)
 
 
+def item_code(item: Column) -> Column:
+    """An item's code under the first of its keys that is filled, else null."""
+    return F.coalesce(*[F.nullif(F.trim(F.get_json_object(item, f"$['{k}']")), F.lit("")) for k in CODE_KEYS])
+
+
 def item_key(item: Column) -> Column:
     """An item's code under any of its keys, else its whole JSON."""
-    return F.coalesce(*[F.nullif(F.trim(F.get_json_object(item, f"$['{k}']")), F.lit("")) for k in CODE_KEYS], item)
+    return F.coalesce(item_code(item), item)
 
 
 def _as_json(item: Column) -> Column:
@@ -60,7 +65,7 @@ def merge_items(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], i
     """One JSON array per key of both sides' items: of equal item codes the incoming one stays.
 
     Existing items come before incoming ones, each in its order; a replaced item
-    takes the incoming place. An array that is null, empty or no array on one
+    takes the incoming place; nulls among the items are left out. An array that is null, empty or no array on one
     side leaves the other as it is. Keys that only one side has stay.
     """
     parts = []

@@ -202,11 +202,17 @@ def search_frequency_rank(spark, folder):
     return rows.filter("rank > 0").select("doc_id", F.floor(F.col("rank") * 10000 + 0.5).alias("rank_e4"))
 
 
-@query()
+_GRAMS = "flatten(list_transform({0}, lambda w: list_transform(range(1, length(w) + 2), lambda i: substring('  ' || w || ' ', i, 3))))"
+
+
+@query(f"""WITH asked AS (SELECT list_distinct({_GRAMS.format("['shampoo', 'lavender']")}) AS q), names AS (SELECT id, {_GRAMS.format(WORDS)} AS g FROM products),
+    stretches AS (SELECT id, list_distinct(g[a:b]) AS s FROM (SELECT id, g, unnest(range(1, len(g) + 1)) AS a FROM names), range(1, 400) r(b) WHERE b >= a AND b <= len(g)),
+    scored AS (SELECT id, len(list_intersect(s, q))::DOUBLE / (len(s) + len(q) - len(list_intersect(s, q))) AS similarity FROM stretches, asked)
+    SELECT id, CAST(floor(max(similarity) * 10000 + 0.5) AS BIGINT) AS similarity_e4 FROM scored GROUP BY id HAVING max(similarity) >= 0.4""")
 def search_word_similarity(spark, folder):
     """Products of whose names some stretch is like the query."""
     rows = table(spark, folder, "products", "id", "item_name").withColumn("similarity", text.word_similarity("item_name", "shampoo lavender"))
-    return rows.filter("similarity >= 0.6").select("id", "similarity")
+    return rows.filter("similarity >= 0.4").select("id", F.floor(F.col("similarity") * 10000 + 0.5).alias("similarity_e4"))
 
 
 @query(f"""SELECT q.id, count(*) AS stores, count(DISTINCT s.chain_id) AS chains, count(DISTINCT s.city) AS cities, CAST(min(l.price) * 10000 AS BIGINT) AS least_e4 FROM products q JOIN {LATEST} l ON l.product_id = q.id JOIN stores s ON s.id = l.store_id

@@ -107,14 +107,26 @@ def map_merge(spark, folder):
     return entries.groupBy("chain_id", "promotion_id", "store_no").agg(F.max(F.struct("updated_at", "value"))["value"].alias("latest_value"))
 
 
-@query()
+_CODE_SQL = ", ".join(f"nullif(trim(item ->> '{k}'), '')" for k in folding.CODE_KEYS)
+
+
+@query(f"""WITH versions AS (SELECT *, row_number() OVER (PARTITION BY chain_id, promotion_id ORDER BY updated_at NULLS FIRST, items NULLS FIRST) AS a, row_number() OVER (PARTITION BY chain_id, promotion_id ORDER BY updated_at DESC NULLS LAST, items NULLS FIRST) AS b FROM promotions),
+    sides AS (SELECT chain_id, promotion_id, 0 AS side, items FROM versions WHERE a = 1 UNION ALL SELECT chain_id, promotion_id, 1, items FROM versions WHERE b = 1),
+    lists AS (SELECT chain_id, promotion_id, side, from_json(CASE WHEN json_valid(items) THEN CASE WHEN json_type(items) = 'ARRAY' THEN items END END, '["JSON"]') AS listed FROM sides),
+    entries AS (SELECT chain_id, promotion_id, side, unnest(listed) AS item, unnest(range(len(listed))) AS place FROM lists),
+    coded AS (SELECT *, coalesce({_CODE_SQL}) AS code, coalesce({_CODE_SQL}, CAST(item AS VARCHAR)) AS item_key FROM entries WHERE json_type(item) <> 'NULL'),
+    kept AS (SELECT * FROM coded QUALIFY row_number() OVER (PARTITION BY chain_id, promotion_id, item_key ORDER BY side DESC, place) = 1),
+    merged AS (SELECT chain_id, promotion_id, count(*) AS item_count, string_agg(coalesce(code, '?'), ',' ORDER BY side, place) AS codes FROM kept GROUP BY ALL)
+    SELECT k.chain_id, k.promotion_id, coalesce(item_count, 0) AS item_count, coalesce(codes, '') AS codes FROM (SELECT DISTINCT chain_id, promotion_id FROM promotions) k LEFT JOIN merged m ON m.chain_id = k.chain_id AND m.promotion_id = k.promotion_id""")
 def items_merge(spark, folder):
-    """Items of each promotion's first version merged with those of its last."""
+    """Items of each promotion's first version merged with those of its last, shown by their codes."""
     rows = table(spark, folder, "promotions", "chain_id", "promotion_id", "updated_at", "items")
     keys = ["chain_id", "promotion_id"]
     first = relational.best_per_key(rows, keys, [F.asc("updated_at"), F.col("items")])
     last = relational.best_per_key(rows, keys, [F.desc("updated_at"), F.col("items")])
-    return folding.merge_items(first, last, keys)
+    merged = folding.merge_items(first, last, keys).withColumn("listed", F.from_json("items", "array<string>"))
+    code = F.transform("listed", lambda i: F.coalesce(folding.item_code(i), F.lit("?")))
+    return merged.select(*keys, F.size("listed").cast("bigint").alias("item_count"), F.array_join(code, ",").alias("codes"))
 
 
 @query("""WITH turns AS (SELECT *, row_number() OVER (PARTITION BY chain_id, promotion_id ORDER BY updated_at NULLS FIRST, promotion_description NULLS FIRST, min_qty NULLS FIRST) AS turn FROM promotions),
