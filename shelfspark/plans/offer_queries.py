@@ -330,3 +330,25 @@ def ingest_report(spark, folder):
     return some.groupBy("month_key").agg(
         F.sum("n").alias("row_count"), F.countDistinct("product_id").alias("products"), F.countDistinct("store_id").alias("stores"), F.sum("without_price").alias("without_price"), F.sum("promoted").alias("promoted"), F.unix_micros(F.max("latest")).alias("latest_us")
     )
+
+
+@query(r"SELECT doc_id FROM documents WHERE contains(regexp_replace(lower(source), '[^\p{L}\p{N}]', '', 'g'), 'pricereports')")
+def filter_normalised_substring(spark, folder):
+    """Rows whose source holds a name, compared by letters and digits alone."""
+    return table(spark, folder, "documents", "doc_id", "source").filter(F.contains(clean.letters_and_digits("source"), F.lit("pricereports"))).select("doc_id")
+
+
+@query("""WITH rows AS (SELECT product_id, price, promo_price, updated_at >= TIMESTAMPTZ '2025-04-01 00:00:00+00' AS is_new FROM product_prices WHERE price IS NOT NULL AND product_id IS NOT NULL AND updated_at IS NOT NULL),
+    sides AS (SELECT product_id, is_new, CAST(CASE WHEN is_new THEN max(price) ELSE min(price) END * 10000 AS BIGINT) AS price_e4, bool_or(is_new AND coalesce(promo_price < price, FALSE)) AS is_promoted FROM rows GROUP BY product_id, is_new)
+    SELECT product_id, price_e4, is_promoted FROM sides QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY is_new DESC) = 1""")
+def upsert_json_prices(spark, folder):
+    """Prices sent as JSON text, with decimal commas and words for flags, read with guards and merged into those held."""
+    rows = _prices(spark, folder).filter("price IS NOT NULL AND product_id IS NOT NULL AND updated_at IS NOT NULL")
+    is_new = F.unix_micros("updated_at") >= 1_743_465_600_000_000  # 2025-04-01
+    held = rows.filter(~is_new).groupBy("product_id").agg(F.min("price").alias("price")).withColumn("is_promoted", F.lit(False))
+    sent = rows.filter(is_new).groupBy("product_id").agg(F.max("price").alias("price"), F.bool_or(F.coalesce(F.col("promo_price") < F.col("price"), F.lit(False))).alias("promoted"))
+    comma = F.replace(F.col("price").cast("string"), F.lit("."), F.lit(","))
+    texts = sent.select(F.to_json(F.struct(F.col("product_id").cast("string").alias("id"), comma.alias("price"), F.when(F.col("promoted"), "Yes").otherwise("no").alias("flag"))).alias("value"))
+    part = lambda k: F.get_json_object("value", f"$.{k}")
+    incoming = texts.select(clean.clean_id(part("id")).try_cast("bigint").alias("product_id"), clean.parse_number(part("price")).alias("price"), clean.parse_bool(part("flag"), False).alias("is_promoted"))
+    return merge.upsert(held, incoming.filter("product_id IS NOT NULL"), ["product_id"]).select("product_id", _e4("price", "price_e4"), "is_promoted")
