@@ -76,7 +76,7 @@ def test_time_grows_with_the_record():
         return time.perf_counter() - began
 
     seconds(100)
-    assert seconds(2_000) < 0.5 and seconds(20_000) < 5
+    assert seconds(20_000) < 40 * max(0.05, seconds(2_000))  # ten times the elements; a square would be a hundred
     deep = 10_000
     text = '{"itemcode": "1", "items": [' * deep + "]}" * deep
     assert nested_rows(parse_json(text)) .count(("", "1", "1")) == deep - 1
